@@ -68,6 +68,25 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, which: int
         return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
 
 
+class SpanHash:
+    """span_hash for several sets of spans of the same values: the running sum is made once."""
+
+    def __init__(self, values: np.ndarray, which: int = 0):
+        self.up, self.down = _powers(which, len(values) + 1)
+        with np.errstate(over="ignore"):
+            self.total = np.zeros(len(values) + 1, dtype=np.uint64)
+            np.cumsum(values * self.up[: len(values)], out=self.total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix64((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
+
+
+def byte_values(data: np.ndarray, which: int = 0, lower: bool = False) -> np.ndarray:
+    table = _table(_SEEDS[which][0])
+    return (table[LOWER] if lower else table)[data]
+
+
 class Words:
     """Words of a chunk of documents: begin and end byte, and the first word of each document (one more at the end)."""
 

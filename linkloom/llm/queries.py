@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op5_chat_format
+from .langid import op10_language_id
 from .mixing import op2_mix_sources
+from .toxicity import op6_toxicity
 from .urlfilter import op8_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op5_chat_format": op5_chat_format,
+    "op6_toxicity": op6_toxicity,
     "op8_url_filter": op8_url_filter,
+    "op10_language_id": op10_language_id,
 }
 
 #: Only what SQL can state without the operator's own learned or hashed state.
