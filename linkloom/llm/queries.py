@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op5_chat_format
+from .decontam import op3_decontaminate
 from .langid import op10_language_id
 from .mixing import op2_mix_sources
 from .toxicity import op6_toxicity
@@ -14,6 +15,7 @@ from .urlfilter import op8_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
     "op8_url_filter": op8_url_filter,
