@@ -10,10 +10,12 @@ from .chat import op5_chat_format
 from .decontam import op3_decontaminate
 from .langid import op10_language_id
 from .mixing import op2_mix_sources
+from .substring import op1_substring_dedup
 from .toxicity import op6_toxicity
 from .urlfilter import op8_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
