@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, table
 
 #: Labelled rows of each class that the machine is fitted on, at most.
-SAMPLE_PER_CLASS = 6000
+SAMPLE_PER_CLASS = 3000
 FACTORS = 8
 EPOCHS = 16
 BATCH = 256
@@ -192,9 +192,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     pick = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = known.withColumn("pick_", F.row_number().over(pick)).filter(F.col("pick_") <= per_class).drop("pick_")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most 2 * per_class rows
-    rows = chosen.select("text", "doc_id", "label").mapInArrow(_term_sets, "doc_id long, label int, terms binary, value binary").toPandas().sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-    texts, values = [np.frombuffer(t, dtype=np.uint64) for t in rows["terms"]], [np.frombuffer(t, dtype=np.float32) for t in rows["value"]]
-    return fit(texts, values, rows["label"].to_numpy(dtype=np.float64), min(max(float(share["p"]), 1e-4), 1 - 1e-4)) if texts else FactorizationMachine()
+    rows = chosen.select("text", "doc_id", "label").mapInArrow(_term_sets, "doc_id long, label int, terms binary, value binary").toArrow()
+    # one text an id, in order of ids, read in place from the buffers
+    _, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
+    texts, values = [np.frombuffer(rows["terms"][i].as_buffer(), dtype=np.uint64) for i in first], [np.frombuffer(rows["value"][i].as_buffer(), dtype=np.float32) for i in first]
+    return fit(texts, values, rows["label"].to_numpy()[first].astype(np.float64), min(max(float(share["p"]), 1e-4), 1 - 1e-4)) if texts else FactorizationMachine()
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
