@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op5_chat_format
+from .dartmin import op9_minhash_dedup
 from .decontam import op3_decontaminate
 from .langid import op10_language_id
 from .mixing import op2_mix_sources
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
     "op8_url_filter": op8_url_filter,
+    "op9_minhash_dedup": op9_minhash_dedup,
     "op10_language_id": op10_language_id,
 }
 
