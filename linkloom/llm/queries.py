@@ -12,6 +12,7 @@ from .decontam import op3_decontaminate
 from .langid import op10_language_id
 from .mixing import op2_mix_sources
 from .substring import op1_substring_dedup
+from .syncmer import op7_syncmer_fingerprint
 from .toxicity import op6_toxicity
 from .urlfilter import op8_url_filter
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
+    "op7_syncmer_fingerprint": op7_syncmer_fingerprint,
     "op8_url_filter": op8_url_filter,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_language_id": op10_language_id,
