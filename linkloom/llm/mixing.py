@@ -112,3 +112,16 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, text, size, copies, taken of the documents that the mix takes at least once.
+
+    The copies are kept as a count, not written out: a reader repeats a row `copies` times.  The text is joined back by
+    id and size, so rows that share an id but not a text keep apart.
+    """
+    keyed = docs.withColumn("size", word_count(F.col("text"))).withColumn("row_key_", F.xxhash64("doc_id", "source", F.coalesce("text", F.lit(""))))
+    taken = mix(keyed.drop("doc_id").withColumnRenamed("row_key_", "doc_id").select("doc_id", "text", "source")).filter("copies > 0")
+    # rows that are alike in everything share their copies evenly
+    shares = taken.groupBy(F.col("doc_id").alias("row_key_")).agg(F.max("copies").alias("copies"), F.max("taken").alias("taken"))
+    return keyed.join(shares, "row_key_").select("doc_id", "source", "text", "size", "copies", "taken")

@@ -138,8 +138,8 @@ def _window_rows(window: int, anchor: int):
     return run
 
 
-def _locate(window: int, anchor: int, build):
-    """Apply `build(words, removed, batch, row)` to each document once its removed words are known."""
+def _locate(window: int, anchor: int, build, carry: int | None = None):
+    """Apply `build(words, removed, raw)` to each document once its removed words are known; column `carry` goes along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +166,7 @@ def _locate(window: int, anchor: int, build):
                 for i, words in enumerate(texts):
                     removed = _occurrences(automaton, words, ids[row + i], window) if automaton is not None and len(words) >= window else None
                     out.append(build(words, removed, raw[offsets[i] : offsets[i + 1]]))
-            yield from _columns(batch, out)
+            yield _columns(batch, out, carry)
 
     return run
 
@@ -210,9 +210,13 @@ def _occurrences(automaton, words: list[bytes], doc_id, window: int) -> np.ndarr
     return removed
 
 
-def _columns(batch: pa.RecordBatch, out: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _columns(batch: pa.RecordBatch, out: list[tuple], carry: int | None) -> pa.RecordBatch:
     n_words, n_removed, kept = zip(*out, strict=True) if out else ((), (), ())
-    yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n_words, type=pa.int64()), pa.array(n_removed, type=pa.int64()), pa.array(kept, type=pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
+    arrays = [batch.column(1), pa.array(n_words, type=pa.int64()), pa.array(n_removed, type=pa.int64()), pa.array(kept, type=pa.binary())]
+    names = ["doc_id", "n_words", "n_removed", "kept"]
+    if carry is not None:
+        arrays, names = [*arrays, batch.column(carry)], [*names, batch.schema.names[carry]]
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def _kept_text(words: list[bytes], removed: np.ndarray | None, raw: bytes) -> tuple[int, int, bytes]:
@@ -256,3 +260,19 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, digest: b
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+def stage_substring_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with repeated passages cut from their texts; n_chars follows the text.  A text that loses all its words is dropped.
+
+    The other columns travel with the text, so repeated and missing ids do no harm.
+    """
+    rest = [c for c in docs.columns if c not in ("text", "doc_id")]
+    plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias("id_")).alias("rest_"))
+    listed = _recurring(plain, WINDOW, ANCHOR).select("text", "doc_id", "plain", "single", "rest_")
+    kind = docs.select(F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias("id_")).alias("rest_")).schema["rest_"].dataType.simpleString()
+    done = listed.mapInArrow(_locate(WINDOW, ANCHOR, _kept_text, carry=4), f"doc_id long, n_words long, n_removed long, kept binary, rest_ {kind}")
+    done = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    text = F.when(F.col("kept").isNotNull(), F.col("kept").cast("string"))
+    made = {"text": text, "doc_id": F.col("rest_.id_"), "n_chars": F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest_.n_chars")) if "n_chars" in rest else None}
+    return done.select(*[(made[c] if made.get(c) is not None else F.col(f"rest_.`{c}`")).alias(c) for c in docs.columns])
