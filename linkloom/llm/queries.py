@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .chat import op5_chat_format
+from .ctxmix import op4_lm_score
 from .dartmin import op9_minhash_dedup
 from .decontam import op3_decontaminate
 from .langid import op10_language_id
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_decontaminate": op3_decontaminate,
+    "op4_lm_score": op4_lm_score,
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
     "op7_syncmer_fingerprint": op7_syncmer_fingerprint,
