@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from .common import WORD_RE, table
 
 #: Expected documents in a rounding block.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 1_000
 #: A document is taken at most so many times.
 MAX_RATE = 3.0
 
