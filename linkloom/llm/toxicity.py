@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, table
 
@@ -188,9 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     share = known.agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()
     if not share["n"]:
         return FactorizationMachine()
-    # the least hashes of each class; one row per label class reaches a task as a bounded top list
-    pick = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = known.withColumn("pick_", F.row_number().over(pick)).filter(F.col("pick_") <= per_class).drop("pick_")
+    # the least hashes of each class: every task sends its own least ones only
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    sample = known.filter("label = 1").orderBy(*order).limit(per_class).unionByName(known.filter("label <> 1").orderBy(*order).limit(per_class))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most 2 * per_class rows
     rows = chosen.select("text", "doc_id", "label").mapInArrow(_term_sets, "doc_id long, label int, terms binary, value binary").toArrow()
     # one text an id, in order of ids, read in place from the buffers
