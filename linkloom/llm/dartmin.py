@@ -43,6 +43,8 @@ COORDINATES = BANDS * BAND_ROWS
 #: be 0.5; the chance to lose a similar pair at 0.6 is below 1e-6.
 SKETCH_LEAST = 0.6
 CHUNK = 1 << 21
+#: Up to so many pairs their ids are sent to the texts, not the texts to the ids.
+BROADCAST_PAIRS = 200_000
 #: A leader's bucket is dealt to so many tasks.
 SALTS = 16
 
@@ -167,7 +169,10 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
     members = salted.select(F.col("b").alias("doc_id"), F.col("a").alias("leader"), "salt", F.lit(1).alias("kind"))
     leaders = salted.select(F.col("a").alias("doc_id"), F.col("a").alias("leader"), "salt", F.lit(0).alias("kind")).distinct()
-    rows = members.unionByName(leaders).join(docs.select("doc_id", "text"), "doc_id")
+    wanted = members.unionByName(leaders)
+    if pairs.count() <= BROADCAST_PAIRS:
+        wanted = F.broadcast(wanted)  # at most two rows of 28 bytes a pair; beyond, the texts are shuffled by id
+    rows = docs.select("doc_id", "text").join(wanted, "doc_id")
     dealt = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "kind")
     return dealt.select("text", "leader", "kind", "doc_id").mapInArrow(_verify, "a long, b long")
 
@@ -232,9 +237,9 @@ def classes(docs: DataFrame) -> DataFrame:
     known = sketches.filter(F.col("has_words") & F.col("doc_id").isNotNull())
     texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "t1", "t2", "s.bands", "s.brief"))
     # a document id may stand for several texts if ids repeat; its pairs are then judged by every text of that id
-    banded = texts.select("rep", "brief", F.explode("bands").alias("key"))
+    banded = texts.select("rep", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    crowded = cut(banded.join(buckets, "key").select("key", "rep", "brief", "leader", "n"))
+    crowded = cut(banded.join(buckets, "key").select("key", "rep", "leader", "n"))
     star = cut(crowded.filter(F.col("rep") != F.col("leader")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     source = plain.filter(F.col("doc_id").isNotNull())
     edges = cut(verified(star, source))
@@ -243,7 +248,7 @@ def classes(docs: DataFrame) -> DataFrame:
     of = labels.withColumnRenamed("id", "rep")
     placed = crowded.join(of, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") < F.col("high")).select("key")
-    left = placed.join(open_keys, "key").filter(F.col("n") > 2)
+    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).join(texts.select("rep", "brief"), "rep"))
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / F.lit(BLOCK)).cast("long"))
     heads = left.select("key", block.alias("block"), F.lit(0).alias("kind"), "rep", "label", "brief")
     # every text of the bucket passes every block of heads
