@@ -1,0 +1,73 @@
+"""Feature generators of a record, as arrays of strings, and their long form (country, id, grp, feat)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from linkloom.functions.text import char_ngrams, coarse_key, phonetic_key
+
+
+def tagged(prefix: str, xs: Column) -> Column:
+    return F.transform(F.array_distinct(xs), lambda x: F.concat(F.lit(prefix), x))
+
+
+def sorted_pairs(prefix: str, xs: Column, most: int = 6) -> Column:
+    """All pairs a|b of the first `most` distinct values in sorted order."""
+    u = F.slice(F.sort_array(F.array_distinct(xs)), 1, most)
+    return F.flatten(F.transform(u, lambda a: F.transform(F.filter(u, lambda b: b > a), lambda b: F.concat(F.lit(prefix), a, F.lit("|"), b))))
+
+
+def phonetic_keys(toks: Column) -> Column:
+    return F.array_distinct(F.filter(F.transform(toks, phonetic_key), lambda k: k.isNotNull()))
+
+
+def coarse_keys(phon: Column) -> Column:
+    return F.array_distinct(F.transform(phon, coarse_key))
+
+
+def name_features(core: Column, phon: Column) -> Column:
+    return F.concat(tagged("n:", core), tagged("p:", phon), sorted_pairs("nb:", core), sorted_pairs("pb:", phon))
+
+
+def address_features(norm: Column, nums: Column, compounds: Column) -> Column:
+    following = F.transform(F.sequence(F.lit(1), F.greatest(F.size(norm) - 1, F.lit(1))), lambda i: F.concat(F.lit("ab:"), F.get(norm, i - 1), F.lit("|"), F.get(norm, i)))
+    adjacent = F.when(F.size(norm) > 1, following).otherwise(F.array().cast("array<string>"))
+    return F.concat(tagged("a:", norm), adjacent, tagged("#:", nums), tagged("c:", compounds))
+
+
+def phon_features(phon: Column) -> Column:
+    coarse = coarse_keys(phon)
+    return F.concat(tagged("q:", phon), sorted_pairs("qb:", phon), tagged("qc:", coarse), sorted_pairs("qcb:", coarse))
+
+
+def cross_keys(core: Column) -> Column:
+    """Coarse phonetic key of each token, or the token itself if it has none and two letters at least."""
+    key = lambda t: F.coalesce(coarse_key(phonetic_key(t)), F.when(F.length(t) >= 2, t))
+    return F.array_distinct(F.filter(F.transform(F.array_distinct(core), key), lambda k: k.isNotNull()))
+
+
+def cross_features(core: Column, norm: Column, keys: int = 4, words: int = 12) -> Column:
+    addr = F.slice(F.filter(F.array_distinct(norm), lambda t: F.length(t) >= 2), 1, words)
+    return F.flatten(F.transform(F.slice(cross_keys(core), 1, keys), lambda k: F.transform(addr, lambda t: F.concat(F.lit("x:"), k, F.lit("|"), t))))
+
+
+def char_features(prefix: str, text: Column) -> Column:
+    return F.when(text != "", F.transform(char_ngrams(text), lambda g: F.concat(F.lit(prefix), g))).otherwise(F.array().cast("array<string>"))
+
+
+def concat_core(core: Column) -> Column:
+    """Core tokens glued; a trailing 'com' goes if ten letters or more are left to see."""
+    glued = F.array_join(core, "")
+    return F.when((F.length(glued) >= 10) & glued.endswith("com"), F.regexp_replace(glued, "com$", "")).otherwise(glued)
+
+
+def long_form(df: DataFrame, groups: dict[str, Column], *keys: str) -> DataFrame:
+    """One row per key, group and distinct feature."""
+    tagged_groups = F.array(*[F.struct(F.lit(g).alias("grp"), F.array_distinct(c).alias("feats")) for g, c in groups.items()])
+    each = df.select(*keys, F.explode(tagged_groups).alias("x"))
+    return each.select(*keys, F.col("x.grp").alias("grp"), F.explode("x.feats").alias("feat"))
+
+
+def hashed(feat: Column, bits: int = 24) -> Column:
+    return F.crc32(feat.cast("binary")).bitwiseAND((1 << bits) - 1)
