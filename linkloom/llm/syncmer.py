@@ -76,9 +76,9 @@ def neighbours(keys: DataFrame) -> DataFrame:
 
     Neighbours are found within slices of ids; only the first key of each slice goes through one ordered pass.
     """
-    sliced = keys.withColumn("slice_", F.coalesce(F.floor(F.col("doc_id") / F.lit(SLICE)), F.lit(-(2**62))))
+    sliced = keys.withColumn("slice_", F.floor(F.col("doc_id") / F.lit(SLICE)))
     key = F.struct("doc_id", "tie")
-    inner = sliced.withColumn("next_", F.lead(key).over(Window.partitionBy("slice_").orderBy(F.col("doc_id").asc_nulls_first(), "tie")))
+    inner = sliced.withColumn("next_", F.lead(key).over(Window.partitionBy("slice_").orderBy("doc_id", "tie")))
     firsts = sliced.groupBy("slice_").agg(F.min(key).alias("first_"))
     ordered = Window.orderBy("slice_")
     whole = Window.partitionBy()
@@ -93,22 +93,22 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     A null text is empty.  Rows that share an id follow each other by a hash of their
     text; a null id comes first.  Repeated rows get equal results.  A single document is followed by itself.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    known = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    marked = with_fingerprint(base.withColumn("id_", known), "text", "fingerprint")
+    first_id = -(2**63)  # stands for a null id, which a join could not match
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(first_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    # both joins below read exactly these columns by the same keys, so the texts are shuffled once
+    marked = with_fingerprint(base, "text", "fingerprint")
     order = neighbours(base.select("doc_id", "tie").distinct())
-    sizes = base.select(known.alias("id_"), "tie", F.floor(F.length("text") / 4).cast("int").alias("q")).distinct()
-    before = order.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("own_id"), F.col("tie").alias("own_tie"), F.coalesce("next_id", F.lit(-(2**63))).alias("id_"), F.col("next_tie").alias("tie"))
-    before = before.join(sizes.withColumnRenamed("id_", "own_id").withColumnRenamed("tie", "own_tie"), ["own_id", "own_tie"])
+    sizes = base.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.floor(F.length("text") / 4).cast("int").alias("q")).distinct()
+    before = order.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.col("next_id").alias("doc_id"), F.col("next_tie").alias("tie")).join(sizes, ["own_id", "own_tie"])
     # what the document before needs of this one: a prefix and the fingerprint
-    given = marked.join(before, ["id_", "tie"]).select("own_id", "own_tie", F.expr("substring(text, 1, q)").alias("borrowed"), F.col("fingerprint").alias("next_fingerprint"))
+    given = marked.join(before, ["doc_id", "tie"]).select("own_id", "own_tie", F.expr("substring(text, 1, q)").alias("borrowed"), F.col("fingerprint").alias("next_fingerprint"))
     once = given.withColumn("row_", F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy("next_fingerprint"))).filter("row_ = 1").drop("row_")
-    once = once.withColumnRenamed("own_id", "id_").withColumnRenamed("own_tie", "tie")
-    joined = marked.join(once, ["id_", "tie"]).withColumn("n_chars", F.length("text").cast("long"))
+    once = once.withColumnRenamed("own_id", "doc_id").withColumnRenamed("own_tie", "tie")
+    joined = marked.join(once, ["doc_id", "tie"]).withColumn("n_chars", F.length("text").cast("long"))
     edited = joined.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), borrowed)")).drop("text", "borrowed")
     edited = with_fingerprint(edited.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_fingerprint").drop("edited")
     liked = with_likeness(with_likeness(edited, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
-    return liked.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return liked.select(F.when(F.col("doc_id") != first_id, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 def op7_syncmer_fingerprint(spark, sf_dir: str) -> DataFrame:
