@@ -14,9 +14,10 @@ Signatures are cut into BANDS of BAND_ROWS coordinates for a banded join:
 2. In every band bucket all texts are held against the bucket's least text (a star, so
    n - 1 pairs, never n^2).  Pairs are verified exactly by their shingles.
 3. Connected components of the verified pairs are classes.
-4. Buckets that still hold several classes are the ones where a star may have missed a link: there,
-   pairs of different classes are compared by their signatures, block by block, and the
-   ones that can be similar are verified too, until no bucket has an unseen pair.
+4. Buckets that still hold several classes are the ones where a star may have missed a link: there, block
+   by block, every text is held against those of other classes.  Pairs are compared in memory (signatures
+   first, then exactly, each pair in the first band it shares only) and never become rows; a task gives out
+   a link only if it joins what the links it found before did not.
 
 A document's class id is the least document id of its class.
 """
@@ -39,9 +40,8 @@ SIMILARITY = 0.8
 BANDS = 24
 BAND_ROWS = 5
 COORDINATES = BANDS * BAND_ROWS
-#: Share of agreeing coordinates below which a pair cannot be similar: eight standard deviations under SIMILARITY would
-#: be 0.5; the chance to lose a similar pair at 0.6 is below 1e-6.
-SKETCH_LEAST = 0.6
+#: Share of agreeing coordinates below which a pair is not looked at further; four standard deviations under SIMILARITY.
+SKETCH_LEAST = 0.65
 CHUNK = 1 << 21
 #: Up to so many pairs their ids are sent to the texts, not the texts to the ids.
 BROADCAST_PAIRS = 200_000
@@ -152,12 +152,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own, count = s[at[i] : at[i + 1]], c[at[i] : at[i + 1]]
                 if kind[row + i] == 0:
                     leader, known, size = lead[row + i], (own, count), int(count.sum())
-                elif leader == lead[row + i]:
-                    place = np.minimum(np.searchsorted(known[0], own), len(known[0]) - 1)
-                    shared = int(np.minimum(np.where(known[0][place] == own, known[1][place], 0), count).sum())
-                    union = size + int(count.sum()) - shared
-                    if union and shared >= SIMILARITY * union - 1e-9:
-                        out.append((lead[row + i], ids[row + i]))
+                elif leader == lead[row + i] and len(own) and _similar((*known, size), (own, count, int(count.sum()))):
+                    out.append((lead[row + i], ids[row + i]))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64())], ["a", "b"])
 
 
@@ -194,31 +190,60 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _similar(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndarray, int]) -> bool:
+    """Weighted Jaccard of two (sorted shingles, counts, total) against SIMILARITY."""
+    if min(a[2], b[2]) < SIMILARITY * max(a[2], b[2]) - 1e-9:
+        return False
+    place = np.minimum(np.searchsorted(a[0], b[0]), len(a[0]) - 1)
+    shared = int(np.minimum(np.where(a[0][place] == b[0], a[1][place], 0), b[1]).sum())
+    return shared >= SIMILARITY * (a[2] + b[2] - shared) - 1e-9
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different classes in a bucket block whose signatures agree enough; rows come by (key, block), heads (kind 0) first."""
-    block, heads, ids, labels = None, [], [], []
-    sketch = None
+    """Links between classes of a bucket. Rows come by (key, block), the block's own texts (kind 0) first."""
+    block: tuple | None = None
+    heads: list = []
+    stacked = None
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
     for batch in batches:
-        out_a, out_b = [], []
-        key, part, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
-        doc, label, brief = batch.column(3).to_numpy(), batch.column(4).to_numpy(), batch.column(5)
-        for i in range(batch.num_rows):
-            if block != (key[i], part[i]):
-                block, heads, ids, labels, sketch = (key[i], part[i]), [], [], [], None
-            own = np.frombuffer(brief[i].as_buffer(), dtype=np.uint16)
-            if kind[i] == 0:
-                heads.append(own)
-                ids.append(doc[i])
-                labels.append(label[i])
-                sketch = None
-            elif heads:
-                if sketch is None:
-                    sketch, id_array, label_array = np.stack(heads), np.array(ids), np.array(labels)
-                other = np.flatnonzero((label_array != label[i]) & (id_array < doc[i]))
-                near = other[(sketch[other] == own).sum(axis=1) >= SKETCH_LEAST * COORDINATES]
-                out_a += id_array[near].tolist()
-                out_b += [doc[i]] * len(near)
-        yield pa.RecordBatch.from_arrays([pa.array(out_a, type=pa.int64()), pa.array(out_b, type=pa.int64())], ["a", "b"])
+        out = []
+        key, part, kind, band = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
+        doc, label = batch.column(5).to_numpy(), batch.column(6).to_numpy()
+        brief = batch.column(8)
+        bands = batch.column(7).flatten().to_numpy().reshape(-1, BANDS)
+        for row, stop, data, offsets in chunks(batch, size=CHUNK):
+            d, s, c = cells(*shingles(data, offsets)[:2])
+            at = np.searchsorted(d, np.arange(stop - row + 1))
+            for i in range(row, stop):
+                if block != (key[i], part[i]):
+                    block, heads, stacked = (key[i], part[i]), [], None
+                x = slice(at[i - row], at[i - row + 1])
+                own = (s[x], c[x], int(c[x].sum()))
+                sketch = np.frombuffer(brief[i].as_buffer(), dtype=np.uint16)
+                if kind[i] == 0:
+                    heads.append((doc[i], label[i], sketch, bands[i], own))
+                    stacked = None
+                elif heads:
+                    if stacked is None:
+                        stacked = tuple(np.stack([h[j] for h in heads]) for j in range(4))
+                    ids, labels, sketches, keys = stacked
+                    other = np.flatnonzero((labels != label[i]) & (ids < doc[i]))
+                    other = other[(sketches[other] == sketch).sum(axis=1) >= SKETCH_LEAST * COORDINATES]
+                    if band[i]:
+                        other = other[~(keys[other, : band[i]] == bands[i, : band[i]]).any(axis=1)]
+                    for h in other:
+                        u, v = root(int(labels[h])), root(int(label[i]))
+                        if u != v and _similar(heads[h][4], own):
+                            parent[max(u, v)] = min(u, v)
+                            out.append((int(ids[h]), int(doc[i])))
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64())], ["a", "b"])
 
 
 #: Texts of a bucket that one task holds at a time.
@@ -237,9 +262,9 @@ def classes(docs: DataFrame) -> DataFrame:
     known = sketches.filter(F.col("has_words") & F.col("doc_id").isNotNull())
     texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "t1", "t2", "s.bands", "s.brief"))
     # a document id may stand for several texts if ids repeat; its pairs are then judged by every text of that id
-    banded = texts.select("rep", F.explode("bands").alias("key"))
+    banded = texts.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    crowded = cut(banded.join(buckets, "key").select("key", "rep", "leader", "n"))
+    crowded = cut(banded.join(buckets, "key").select("key", "band", "rep", "leader", "n"))
     star = cut(crowded.filter(F.col("rep") != F.col("leader")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     source = plain.filter(F.col("doc_id").isNotNull())
     edges = cut(verified(star, source))
@@ -248,16 +273,20 @@ def classes(docs: DataFrame) -> DataFrame:
     of = labels.withColumnRenamed("id", "rep")
     placed = crowded.join(of, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") < F.col("high")).select("key")
-    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).join(texts.select("rep", "brief"), "rep"))
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / F.lit(BLOCK)).cast("long"))
-    heads = left.select("key", block.alias("block"), F.lit(0).alias("kind"), "rep", "label", "brief")
-    # every text of the bucket passes every block of heads
-    passers = left.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / F.lit(BLOCK)).cast("long") - 1)).alias("block"), F.lit(1).alias("kind"), "rep", "label", "brief")
-    dealt = heads.unionByName(passers).repartition("key", "block").sortWithinPartitions("key", "block", "kind")
-    more = dealt.mapInArrow(_cross, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    more = cut(more)
-    if more.limit(1).count():
-        labels = components(edges.unionByName(verified(more, source)))
+    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).select("key", "band", "rep", "label", "n"))
+    if left.limit(1).count():
+        wanted = left.select("rep", "label").distinct().join(texts.select("rep", "bands", "brief"), "rep")
+        if left.count() <= BROADCAST_PAIRS:
+            wanted = F.broadcast(wanted)  # at most BROADCAST_PAIRS rows of half a kilobyte
+        held = source.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "label", "bands", "brief", "text")
+        blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
+        heads = left.select("key", "band", F.pmod(F.xxhash64("rep"), blocks).alias("block"), F.lit(0).alias("kind"), "rep")
+        # every text of the bucket passes every block of heads
+        passers = left.select("key", "band", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(1).alias("kind"), "rep")
+        dealt = heads.unionByName(passers).join(held, "rep").repartition("key", "block").sortWithinPartitions("key", "block", "kind")
+        links = cut(dealt.select("text", "key", "block", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(_cross, "a long, b long"))
+        if links.limit(1).count():
+            labels = components(edges.unionByName(links))
     final = texts.select("t1", "t2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("t1", "t2", F.coalesce("label", "rep").alias("class_id"))
     joined = sketches.select("doc_id", "has_words", "t1", "t2").join(final, ["t1", "t2"], "left")
     class_id = F.when(F.col("has_words") & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id"))
