@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, table
 
 #: Labelled rows of each class that the machine is fitted on, at most.
-SAMPLE_PER_CLASS = 3000
+SAMPLE_PER_CLASS = 1500
 FACTORS = 8
 EPOCHS = 16
 BATCH = 256
@@ -119,7 +119,7 @@ def fit(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, pr
         at = np.minimum(np.searchsorted(vocabulary, t), len(vocabulary) - 1)
         known = vocabulary[at] == t
         rows.append(at[known])
-        weights.append(x[known].astype(np.float64))
+        weights.append(x[known])
     rng = np.random.default_rng(seed)
     n_terms = len(vocabulary)
     l1 = float(np.clip(L1[2] * min(label.sum(), len(label) - label.sum()), L1[0], L1[1]))
