@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text handled at once by a kernel; bounds the memory of its temporaries.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1_000_000
 #: The words of the contracts: runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 

@@ -42,7 +42,7 @@ BAND_ROWS = 5
 COORDINATES = BANDS * BAND_ROWS
 #: Share of agreeing coordinates below which a pair is not looked at further; four standard deviations under SIMILARITY.
 SKETCH_LEAST = 0.65
-CHUNK = 1 << 21
+CHUNK = 1_000_000
 #: Up to so many pairs their ids are sent to the texts, not the texts to the ids.
 BROADCAST_PAIRS = 200_000
 #: A leader's bucket is dealt to so many tasks.

@@ -30,7 +30,7 @@ SMOOTHING = 0.5
 SWITCH_PENALTY = 8.0
 #: A script belongs to a language if at least this share of the language's words is in it.
 SCRIPT_SHARE = 0.01
-CHUNK = 1 << 22
+CHUNK = 2_000_000
 SCRIPTS = 12
 
 

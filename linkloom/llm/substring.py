@@ -38,7 +38,7 @@ from .common import SpanHash, U64, Words, byte_values, chunks, mix64, signed, sl
 
 WINDOW = 50
 ANCHOR = 12
-CHUNK = 1 << 20
+CHUNK = 1_000_000
 
 
 class Passages:
