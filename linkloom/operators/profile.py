@@ -158,3 +158,8 @@ def random_negatives(rec: DataFrame, truth: DataFrame) -> DataFrame:
     number = F.conv(F.substring(F.md5(F.concat("entity_id", F.lit(":neg")).cast("binary")), 1, 8), 16, 10).cast("long")
     s1 = rec.filter("source = 1").join(sizes, "country").select("country", F.col("entity_id").alias("s1_id"), (number % F.col("n")).alias("i"))
     return s1.join(pool, ["country", "i"]).select("s1_id", "cand_id").join(truth.select("s1_id", F.col("matched_id").alias("cand_id")), ["s1_id", "cand_id"], "left_anti")
+
+
+def sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """Exactly n rows (or all), by hash: the same ones on every run."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")), key).limit(n)

@@ -3,7 +3,7 @@
 import pytest
 from oracle import connect, difference
 
-from linkloom.plans import decisions, records  # noqa: F401
+from linkloom.plans import decisions, evidence, records  # noqa: F401
 from linkloom.plans.registry import QUERIES, SQL
 
 
