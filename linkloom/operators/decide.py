@@ -93,17 +93,22 @@ def pav(y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), v) for v, _, n in blocks]) if blocks else np.zeros(0)
 
 
-def calibration_bins(df: DataFrame, bins: int = 20, p: str = "p", label: str = "label") -> DataFrame:
-    """(bin, n, mean_p, mean_y): bins between the distinct quantiles of p, closed on the right."""
-    grid = [i / bins for i in range(1, bins)]
-    edges = df.agg(F.percentile(p, F.array(*map(F.lit, grid))).alias("q")).select(F.array_sort(F.array_distinct("q")).alias("edges"))
+def calibration_bins(df: DataFrame, bins: int = 20, p: str = "p", label: str = "label", accuracy: int | None = None) -> DataFrame:
+    """(bin, n, mean_p, mean_y): bins between the distinct quantiles of p, closed on the right.
+
+    Exact quantiles keep every distinct p; with `accuracy` a sketch of bounded size finds the edges instead (the bins' counts and
+    means stay exact), which is what billions of unrounded scores need.
+    """
+    grid = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    quantiles = F.percentile(p, grid) if accuracy is None else F.percentile_approx(p, grid, accuracy)
+    edges = df.agg(quantiles.alias("q")).select(F.array_sort(F.array_distinct("q")).alias("edges"))
     placed = df.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col(p))).cast("long"))  # one row
     return placed.groupBy("bin").agg(F.count("*").alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(label).cast("double")).alias("mean_y"))
 
 
-def fit_calibration(df: DataFrame, bins: int = 200) -> list[tuple[float, float]]:
+def fit_calibration(df: DataFrame, bins: int = 200, accuracy: int | None = 10_000) -> list[tuple[float, float]]:
     """Knots (p, calibrated) of a monotone map; at most `bins` rows reach the driver."""
-    rows = calibration_bins(df, bins).orderBy("bin").collect()
+    rows = calibration_bins(df, bins, accuracy=accuracy).orderBy("bin").collect()
     y = pav(np.array([r["mean_y"] for r in rows]), np.array([float(r["n"]) for r in rows]))
     return [(float(r["mean_p"]), float(min(1 - EPS, max(EPS, v)))) for r, v in zip(rows, y, strict=True)]
 
