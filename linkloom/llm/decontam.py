@@ -22,7 +22,6 @@ documents, so a benchmark of any size is covered.  Documents are never shuffled.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
