@@ -38,7 +38,7 @@ PREFIX_BYTES = (4, 5, 6, 7)
 LEAST_TEXTS = 5
 L2, RATE, FACTOR_RATE = 0.1, 0.3, 0.03
 #: Least and most L1, and its growth by fitted text of the rarer class.
-L1 = (2.0, 40.0, 0.06)
+L1 = (12.0, 40.0, 0.15)
 FILTER_BITS = 22
 
 _TERM_BYTE = np.zeros(256, dtype=bool)
