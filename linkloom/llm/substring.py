@@ -38,6 +38,8 @@ from .common import SpanHash, U64, Words, byte_values, chunks, mix64, signed, sl
 
 WINDOW = 50
 ANCHOR = 12
+#: Stands for a missing id: nothing comes before it, and it is never searched for.
+NO_ID = -(2**63)
 CHUNK = 1_000_000
 
 
@@ -81,7 +83,7 @@ class Passages:
 def _span_rows(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column(1))
+            ids = batch.column(1).to_numpy(zero_copy_only=False)
             for row, _, data, offsets in chunks(batch, size=CHUNK):
                 doc, key, span = Passages(data, offsets, window, anchor).spans()
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(span)), pa.array(ids[row + doc])], ["anchor", "span", "doc_id"])
@@ -94,11 +96,6 @@ def _lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return column.flatten(), np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    """Ids, a null as the least number: no document comes before it."""
-    return column.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-
-
 def _pick(flat: pa.Array, offsets: np.ndarray, row: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text within the chunk, key, home) of the entries of rows [row, stop)."""
     part = flat.slice(offsets[row], offsets[stop] - offsets[row])
@@ -124,7 +121,7 @@ def _window_rows(window: int, anchor: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column(1))
+            ids = batch.column(1).to_numpy(zero_copy_only=False)
             flat, at = _lists(batch.column(2))
             for row, stop, data, offsets in chunks(batch, size=CHUNK):
                 doc, key, _ = _pick(flat, at, row, stop)
@@ -143,7 +140,7 @@ def _locate(window: int, anchor: int, build, carry: int | None = None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = _ids(batch.column(1))
+            ids = batch.column(1).to_numpy(zero_copy_only=False)
             plain, plain_at = _lists(batch.column(2))
             single, single_at = _lists(batch.column(3))
             out = []
@@ -231,18 +228,28 @@ def _kept_digest(words: list[bytes], removed: np.ndarray | None, raw: bytes) ->
     return len(words), 0 if removed is None else int(removed.sum()), hashlib.sha256(b" ".join(kept)).hexdigest().encode()
 
 
+def _identified(docs: DataFrame, *rest) -> DataFrame:
+    return docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), *rest)
+
+
 def _recurring(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """docs(text, doc_id) with `plain` (unambiguous recurring anchors) and `single` (recurring windows of the others), each with its least id."""
-    spans = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(_span_rows(window, anchor), "anchor long, span long, doc_id long")
+    """docs(text, doc_id, ...) with `plain` (unambiguous recurring anchors) and `single` (recurring windows of the others), each with its least id.
+
+    Ids are never null here and the windows are made from all columns, so both reads of the texts by id are one shuffle.
+    """
+    spans = docs.filter(F.col("doc_id") != NO_ID).select("text", "doc_id").mapInArrow(_span_rows(window, anchor), "anchor long, span long, doc_id long")
     anchors = spans.groupBy("anchor").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.min("span").alias("least"), F.max("span").alias("most"))
     anchors = anchors.filter(F.col("home") < F.col("last")).select("anchor", "home", (F.col("least") != F.col("most")).alias("mixed"))
     own = spans.select("anchor", "doc_id").join(anchors, "anchor").filter(F.col("mixed") | (F.col("doc_id") > F.col("home")))
     entry = F.struct(F.col("anchor").alias("key"), F.col("home"))
     per_doc = own.groupBy("doc_id").agg(F.collect_set(F.when(~F.col("mixed"), entry)).alias("plain"), F.collect_set(F.when(F.col("mixed"), entry)).alias("mixed"))
-    listed = docs.join(per_doc, "doc_id", "left")
-    windows = listed.filter(F.size("mixed") > 0).select("text", "doc_id", "mixed").mapInArrow(_window_rows(window, anchor), "a long, b long, doc_id long")
-    homes = windows.groupBy("a", "b").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).filter(F.col("home") < F.col("last")).drop("last")
-    single = windows.join(homes, ["a", "b"]).filter(F.col("doc_id") > F.col("home")).groupBy("doc_id").agg(F.collect_set(F.struct(F.col("a").alias("key"), F.col("home"))).alias("single"))
+    listed = docs.join(per_doc, "doc_id", "left").select("text", "doc_id", "mixed", "plain", *[c for c in docs.columns if c not in ("text", "doc_id")])
+    windows = listed.filter(F.size("mixed") > 0).mapInArrow(_window_rows(window, anchor), "a long, b long, doc_id long")
+    homes = windows.groupBy("a", "b").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).filter(F.col("home") < F.col("last")).select(F.col("a").alias("a_"), F.col("b").alias("b_"), "home")
+    # joined by one half of the hash alone: both sides are shuffled for the join then, and a hot window can be split
+    same = (F.col("a") == F.col("a_")) & (F.col("b").bitwiseXOR(F.col("b_")) == 0) & (F.col("doc_id") > F.col("home"))
+    matched = windows.join(homes, same)
+    single = matched.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("a").alias("key"), F.col("home"))).alias("single"))
     return listed.drop("mixed").join(single, "doc_id", "left")
 
 
@@ -253,9 +260,9 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, digest: b
     space, in hex): unchanged if nothing is removed.  A null text has no words.  Rows without an id are
     neither searched nor searched for.  Rows that share an id never count against each other.
     """
-    plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    listed = _recurring(plain, window, anchor).select("text", "doc_id", "plain", "single")
-    return listed.mapInArrow(_locate(window, anchor, _kept_digest if digest else _kept_text), "doc_id long, n_words long, n_removed long, kept binary").withColumn("kept", F.col("kept").cast("string"))
+    listed = _recurring(_identified(docs), window, anchor).select("text", "doc_id", "plain", "single")
+    found = listed.mapInArrow(_locate(window, anchor, _kept_digest if digest else _kept_text), "doc_id long, n_words long, n_removed long, kept binary")
+    return found.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).withColumn("kept", F.col("kept").cast("string"))
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
@@ -269,8 +276,7 @@ def stage_substring_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     rest = [c for c in docs.columns if c not in ("text", "doc_id")]
     carried = F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias("id_"), F.col("text").isNull().alias("no_text_")).alias("rest_")
-    plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), carried)
-    listed = _recurring(plain, WINDOW, ANCHOR).select("text", "doc_id", "plain", "single", "rest_")
+    listed = _recurring(_identified(docs, carried), WINDOW, ANCHOR).select("text", "doc_id", "plain", "single", "rest_")
     kind = docs.select(carried).schema["rest_"].dataType.simpleString()
     done = listed.mapInArrow(_locate(WINDOW, ANCHOR, _kept_text, carry=4), f"doc_id long, n_words long, n_removed long, kept binary, rest_ {kind}")
     done = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
