@@ -1,6 +1,8 @@
+import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from linkloom.llm import dartmin as M
 
@@ -45,6 +47,29 @@ def test_chain_beyond_the_leader(spark):
     assert got == brute(rows) and set(got.values()) == {0}
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_families_around_the_limit(spark, monkeypatch, block):
+    """Copies of copies at similarities around 0.8: stars leave several classes in a bucket, blocks of any size find the rest."""
+    monkeypatch.setattr(M, "BLOCK", block)
+    rng = random.Random(11)
+    rows, i = [], 0
+    for f in range(3):
+        family = [[f"f{f}w{k}" for k in range(160)]]
+        for _ in range(35):
+            w = list(rng.choice(family))
+            for _ in range(rng.randrange(2, 7)):
+                w[rng.randrange(len(w))] = f"e{rng.randrange(10**9)}"
+            family.append(w)
+        for w in family:
+            rows.append((i, " ".join(w)))
+            i += 1
+    rng.shuffle(rows)
+    got = {r.doc_id: r.class_id for r in M.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute(sorted(rows))
+    assert len(set(want.values())) > 3
+    assert got == want
+
+
 def test_agreement_is_weighted_jaccard():
     rng = np.random.default_rng(3)
     a = rng.integers(1, 2**60, 200).astype(np.uint64)
