@@ -200,7 +200,7 @@ def _similar(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndar
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between classes of a bucket. Rows come by (key, block), the block's own texts (kind 0) first."""
+    """Links between classes of a bucket. Rows come by (key, block, slice): the texts of the block (kind 0), then those of the slice."""
     block: tuple | None = None
     heads: list = []
     stacked = None
@@ -214,16 +214,15 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out = []
-        key, part, kind, band = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
-        doc, label = batch.column(5).to_numpy(), batch.column(6).to_numpy()
-        brief = batch.column(8)
-        bands = batch.column(7).flatten().to_numpy().reshape(-1, BANDS)
+        key, part, piece, kind, band, doc, label = (batch.column(i).to_numpy() for i in range(1, 8))
+        bands = batch.column(8).flatten().to_numpy().reshape(-1, BANDS)
+        brief = batch.column(9)
         for row, stop, data, offsets in chunks(batch, size=CHUNK):
             d, s, c = cells(*shingles(data, offsets)[:2])
             at = np.searchsorted(d, np.arange(stop - row + 1))
             for i in range(row, stop):
-                if block != (key[i], part[i]):
-                    block, heads, stacked = (key[i], part[i]), [], None
+                if block != (key[i], part[i], piece[i]):
+                    block, heads, stacked = (key[i], part[i], piece[i]), [], None
                 x = slice(at[i - row], at[i - row + 1])
                 own = (s[x], c[x], int(c[x].sum()))
                 sketch = np.frombuffer(brief[i].as_buffer(), dtype=np.uint16)
@@ -234,7 +233,8 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if stacked is None:
                         stacked = tuple(np.stack([h[j] for h in heads]) for j in range(4))
                     ids, labels, sketches, keys = stacked
-                    other = np.flatnonzero((labels != label[i]) & (ids < doc[i]))
+                    # a block and another slice meet once; within a block a pair is looked at from its later text
+                    other = np.flatnonzero((labels != label[i]) & ((ids < doc[i]) | (part[i] != piece[i])))
                     other = other[(sketches[other] == sketch).sum(axis=1) >= SKETCH_LEAST * COORDINATES]
                     if band[i]:
                         other = other[~(keys[other, : band[i]] == bands[i, : band[i]]).any(axis=1)]
@@ -242,12 +242,12 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         u, v = root(int(labels[h])), root(int(label[i]))
                         if u != v and _similar(heads[h][4], own):
                             parent[max(u, v)] = min(u, v)
-                            out.append((int(ids[h]), int(doc[i])))
+                            out.append((min(int(ids[h]), int(doc[i])), max(int(ids[h]), int(doc[i]))))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64())], ["a", "b"])
 
 
-#: Texts of a bucket that one task holds at a time.
-BLOCK = 512
+#: Texts in a block of a bucket: two blocks meet in one task.
+BLOCK = 256
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -280,11 +280,12 @@ def classes(docs: DataFrame) -> DataFrame:
             wanted = F.broadcast(wanted)  # at most BROADCAST_PAIRS rows of half a kilobyte
         held = source.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "label", "bands", "brief", "text")
         blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
-        heads = left.select("key", "band", F.pmod(F.xxhash64("rep"), blocks).alias("block"), F.lit(0).alias("kind"), "rep")
-        # every text of the bucket passes every block of heads
-        passers = left.select("key", "band", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(1).alias("kind"), "rep")
-        dealt = heads.unionByName(passers).join(held, "rep").repartition("key", "block").sortWithinPartitions("key", "block", "kind")
-        links = cut(dealt.select("text", "key", "block", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(_cross, "a long, b long"))
+        zero = F.lit(0).cast("long")
+        split = left.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("last", blocks - 1)
+        heads = split.select("key", "band", F.col("own").alias("block"), F.explode(F.sequence("own", "last")).alias("slice"), F.lit(0).alias("kind"), "rep")
+        passers = split.select("key", "band", F.explode(F.sequence(zero, F.col("own"))).alias("block"), F.col("own").alias("slice"), F.lit(1).alias("kind"), "rep")
+        dealt = heads.unionByName(passers).join(held, "rep").repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice", "kind")
+        links = cut(dealt.select("text", "key", "block", "slice", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(_cross, "a long, b long"))
         if links.limit(1).count():
             labels = components(edges.unionByName(links))
     final = texts.select("t1", "t2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("t1", "t2", F.coalesce("label", "rep").alias("class_id"))
