@@ -41,11 +41,19 @@ def weighted(feats: DataFrame, table: DataFrame, *norm_by: str) -> DataFrame:
     return w.withColumn("w", F.col("idf") / F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(norm))).drop("idf")
 
 
-def topk_join(s1: DataFrame, pool: DataFrame, table: DataFrame, k: int, max_df: int) -> DataFrame:
-    """(country, s1_id, cand_id, score, rank): the k candidates with the largest cosine over features of at most max_df pool records."""
+def topk_join(s1: DataFrame, pool: DataFrame, table: DataFrame, k: int, max_df: int, groups: dict[str, float] | None = None) -> DataFrame:
+    """(country, s1_id, cand_id, score, rank): the k candidates with the largest cosine over features of at most max_df pool records.
+
+    With several groups the score is the sum of their cosines by the given weights.
+    """
     capped = table.filter(F.col("df") <= max_df)
+    if groups is not None:
+        capped = capped.filter(F.col("grp").isin(list(groups)))
     a = weighted(s1, capped, "id", "grp").select("country", "grp", "feat", F.col("id").alias("s1_id"), F.col("w").alias("wa"))
     b = weighted(pool, capped, "id", "grp").select("country", "grp", "feat", F.col("id").alias("cand_id"), F.col("w").alias("wb"))
+    for grp, weight in (groups or {}).items():
+        if weight != 1.0:
+            a = a.withColumn("wa", F.when(F.col("grp") == grp, F.col("wa") * weight).otherwise(F.col("wa")))
     scored = a.join(b, ["country", "grp", "feat"]).groupBy("country", "s1_id", "cand_id").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("score"))
     order = Window.partitionBy("s1_id").orderBy(F.desc("score"), "cand_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

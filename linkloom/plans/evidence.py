@@ -14,6 +14,7 @@ from linkloom.operators import profile as R
 from linkloom.operators.pairs import number_pairs, same_key
 from linkloom.plans.records import LISTS, _rescored
 from linkloom.plans.registry import query
+from linkloom.sources.tables import materialized
 from linkloom.sources.entities import COUNTS_SQL, PAIRS_SQL, RECORDS_SQL, TRUTH_SQL, pairs, read, records, true_counts, truth
 
 E = f"with {RECORDS_SQL}"
@@ -193,3 +194,19 @@ def _(spark, d):
 def _(spark, d):
     rec = records(spark, d)
     return truth(spark, d).select("s1_id", "matched_id").join(same_key(rec, "name").select("s1_id", F.col("cand_id").alias("matched_id")), ["s1_id", "matched_id"], "left_anti")
+
+
+@query("candidates_full")
+def _(spark, d):
+    from linkloom.operators.linker import Settings, candidates
+
+    rec = materialized(W.parsed(records(spark, d)).drop("text"))
+    return candidates(rec, Settings(max_df=50, k_comb=20, k=10, max_block=200, budget=20)).select("s1_id", "cand_id", "passes", F.round("priority", 6).alias("priority"), "rank")
+
+
+@query("link_records")
+def _(spark, d):
+    """From records to lists of matches: blocking, two learned rounds, calibration, one-to-one and expected-F selection."""
+    from linkloom.operators.linker import Settings, link
+
+    return link(records(spark, d), truth(spark, d), Settings(max_df=50, k_comb=20, k=10, max_block=200, budget=20, keep=10, folds=2))

@@ -5,6 +5,7 @@ Everything is read as text with a fixed schema; nothing is inferred and no strin
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,3 +105,12 @@ def keyed(df: DataFrame, key: str) -> DataFrame:
     """df, checked to have each key once: a repeated one is an error raised when it is read."""
     n = F.count("*").over(Window.partitionBy(key))
     return df.withColumn("n_", n).withColumn(key, F.when(F.col("n_") == 1, F.col(key)).otherwise(F.raise_error(F.concat(F.lit("repeated key "), F.col(key).cast("string"))))).drop("n_")
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """df, computed once and written to the cluster's checkpoint folder (a local one only where it names none): later steps start
+    from the files, whatever executors are lost meanwhile, and carry none of the plan that led there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)

@@ -119,3 +119,13 @@ def test_merge_maps():
 def test_phrases(spark):
     df = spark.createDataFrame([(["new", "york", "deli"], ["ny", "deli"])], "a_name_tokens array<string>, b_name_tokens array<string>")
     assert [tuple(r) for r in Q.mine_phrases(df).collect()] == [("new", "york", "ny", 1)]
+
+
+def test_link_covers_every_s1(spark, data):
+    from linkloom.operators.linker import Settings, link
+    from linkloom.sources.entities import records, truth
+
+    rec = records(spark, data).filter("country = 'en'")
+    got = link(rec, truth(spark, data), Settings(max_df=30, k_comb=8, k=4, max_block=100, budget=8, keep=4, folds=2)).collect()
+    assert sorted(r.s1_id for r in got) == sorted(r.entity_id for r in rec.filter("source = 1").collect())
+    assert all(m.startswith(("S2-", "S3-")) for r in got for m in r.matches.split(",") if m)
