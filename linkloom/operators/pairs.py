@@ -17,15 +17,19 @@ def _sides(rec: DataFrame, key) -> tuple[DataFrame, DataFrame]:
     return a, b
 
 
-def same_key(rec: DataFrame, column: str) -> DataFrame:
+def _within_blocks(a: DataFrame, b: DataFrame, max_block: int) -> DataFrame:
+    """Equal keys of one country; keys with more than max_block candidates are left out before the join, so no group is squared."""
+    small = b.groupBy("country", "key").agg(F.count("*").alias("n")).filter(F.col("n") <= max_block).drop("n")
+    return a.join(small, ["country", "key"]).join(b, ["country", "key"]).drop("key")
+
+
+def same_key(rec: DataFrame, column: str, max_block: int = 200) -> DataFrame:
     """Pairs of one country with an equal, known value."""
-    a, b = _sides(rec.filter(F.col(column).isNotNull() & (F.col("text") != "")), F.col(column))
-    return a.join(b, ["country", "key"]).drop("key")
+    return _within_blocks(*_sides(rec.filter(F.col(column).isNotNull() & (F.col("text") != "")), F.col(column)), max_block)
 
 
-def same_address(rec: DataFrame) -> DataFrame:
-    a, b = _sides(rec.filter(F.size("address_tokens") > 0), F.array_join("address_tokens", " "))
-    return a.join(b, ["country", "key"]).drop("key")
+def same_address(rec: DataFrame, max_block: int = 200) -> DataFrame:
+    return _within_blocks(*_sides(rec.filter(F.size("address_tokens") > 0), F.array_join("address_tokens", " ")), max_block)
 
 
 def substitutions(pairs: DataFrame) -> DataFrame:

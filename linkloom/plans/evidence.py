@@ -182,7 +182,7 @@ def _(spark, d):
     return represent(records(spark, d).select("entity_id", T.null_if_empty(T.fold(F.col("name"))).alias("name_fold"), T.null_if_empty(T.fold(F.col("address"))).alias("address_fold")))
 
 
-@query("pair_probes", f"{E}, p as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1) select s1_id, cand_id, an = bn as name_exact, len(list_intersect(list_distinct(an), bn)) = 0 as name_zero, len(ba) = 0 as m_no_address, len(ba) > 0 and len(list_intersect(list_distinct(aa), ba)) = 0 as addr_zero, len(list_intersect(list_distinct(an), ba)) > 0 or len(list_intersect(list_distinct(aa), bn)) > 0 as cross_field from p")
+@query("pair_probes", f"{E}, p as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1 join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name) select s1_id, cand_id, an = bn as name_exact, len(list_intersect(list_distinct(an), bn)) = 0 as name_zero, len(ba) = 0 as m_no_address, len(ba) > 0 and len(list_intersect(list_distinct(aa), ba)) = 0 as addr_zero, len(list_intersect(list_distinct(an), ba)) > 0 or len(list_intersect(list_distinct(aa), bn)) > 0 as cross_field from p")
 def _(spark, d):
     p = same_key(records(spark, d), "name")
     hit = lambda a, b: F.size(F.array_intersect(a, b)) > 0
@@ -190,7 +190,7 @@ def _(spark, d):
     return p.select("s1_id", "cand_id", (F.col(an) == F.col(bn)).alias("name_exact"), (~hit(an, bn)).alias("name_zero"), (F.size(ba) == 0).alias("m_no_address"), ((F.size(ba) > 0) & ~hit(aa, ba)).alias("addr_zero"), (hit(an, ba) | hit(aa, bn)).alias("cross_field"))
 
 
-@query("matches_within_candidates", f"{E}, {TRUTH_SQL} select s1_id, matched_id from truth where (s1_id, matched_id) not in (select a.entity_id, b.entity_id from rec a join rec b on a.country = b.country and a.name = b.name where a.source = 1 and b.source > 1)")
+@query("matches_within_candidates", f"{E}, {TRUTH_SQL} select s1_id, matched_id from truth where (s1_id, matched_id) not in (select a.entity_id, b.entity_id from rec a join rec b on a.country = b.country and a.name = b.name join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name where a.source = 1 and b.source > 1)")
 def _(spark, d):
     rec = records(spark, d)
     return truth(spark, d).select("s1_id", "matched_id").join(same_key(rec, "name").select("s1_id", F.col("cand_id").alias("matched_id")), ["s1_id", "matched_id"], "left_anti")

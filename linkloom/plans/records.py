@@ -91,7 +91,7 @@ def _(spark, d):
     return R.coverage(truth(spark, d), rec, R.document_frequency(rec.filter("source > 1"), "name_tokens"), [10, 100, 1000, 10000])
 
 
-SUBS = "subs as (select x, y, count(*) as n from (select list_filter(list_distinct(a.nt), lambda v: not list_contains(b.nt, v)) as l, list_filter(list_distinct(b.nt), lambda v: not list_contains(a.nt, v)) as r from rec a join rec b on a.country = b.country and a.source = 1 and b.source > 1 and a.ad = b.ad and len(a.ad) > 0), lateral (select l[1] as x, r[1] as y) where len(l) = 1 and len(r) = 1 group by 1, 2)"
+SUBS = "subs as (select x, y, count(*) as n from (select list_filter(list_distinct(a.nt), lambda v: not list_contains(b.nt, v)) as l, list_filter(list_distinct(b.nt), lambda v: not list_contains(a.nt, v)) as r from rec a join rec b on a.country = b.country and a.source = 1 and b.source > 1 and a.ad = b.ad and len(a.ad) > 0 join (select country, ad from rec where source > 1 and len(ad) > 0 group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.ad = a.ad), lateral (select l[1] as x, r[1] as y) where len(l) = 1 and len(r) = 1 group by 1, 2)"
 
 
 @query("substitution_counts", f"{E}, {SUBS} select x, y, n from subs")
@@ -368,7 +368,7 @@ def _(spark, d):
     return B.expand(a, seeds, b).select("id", "feat", F.round("w", 6).alias("w"))
 
 
-PAIR = f"{E}, pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba, a.name as a_name, b.name as b_name from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1)"
+PAIR = f"{E}, pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba, a.name as a_name, b.name as b_name from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1 join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name)"
 
 
 def _same_name(spark, d):
