@@ -260,7 +260,7 @@ def classes(docs: DataFrame) -> DataFrame:
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
     sketches = cut(plain.mapInArrow(_sketch, SKETCH))
     known = sketches.filter(F.col("has_words") & F.col("doc_id").isNotNull())
-    texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "t1", "t2", "s.bands", "s.brief"))
+    texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows_"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "rows_", "t1", "t2", "s.bands", "s.brief"))
     # a document id may stand for several texts if ids repeat; its pairs are then judged by every text of that id
     banded = texts.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter(F.col("n") > 1)
@@ -288,13 +288,14 @@ def classes(docs: DataFrame) -> DataFrame:
         links = cut(dealt.select("text", "key", "block", "slice", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(_cross, "a long, b long"))
         if links.limit(1).count():
             labels = components(edges.unionByName(links))
-    final = texts.select("t1", "t2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("t1", "t2", F.coalesce("label", "rep").alias("class_id"))
+    final = texts.select("t1", "t2", "rep", "rows_").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
+    # joined by the complement of the class: both sides are shuffled for this join then, and a large class can be split
+    key = F.bitwise_not("class_id")
+    size = final.groupBy("class_id").agg(F.sum("rows_").alias("n")).select(key.alias("key"), "n")
+    final = final.withColumn("key", key).join(size, "key").select("t1", "t2", "class_id", "n")
     joined = sketches.select("doc_id", "has_words", "t1", "t2").join(final, ["t1", "t2"], "left")
-    class_id = F.when(F.col("has_words") & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id"))
-    out = joined.select("doc_id", class_id.alias("class_id"), F.col("has_words"))
-    size = out.filter("has_words and doc_id is not null").groupBy("class_id").agg(F.count("*").alias("n"))
-    counted = out.join(size, "class_id", "left")
-    return counted.select("doc_id", "class_id", F.when(F.col("has_words") & F.col("doc_id").isNotNull(), F.col("n")).otherwise(F.lit(1)).cast("long").alias("n_class"))
+    placed = F.col("has_words") & F.col("doc_id").isNotNull()
+    return joined.select("doc_id", F.when(placed, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(placed, F.col("n")).otherwise(F.lit(1)).cast("long").alias("n_class"))
 
 
 def op9_minhash_dedup(spark, sf_dir: str) -> DataFrame:
