@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from linkloom.functions.text import is_subsequence, jaccard
 
 KEEP = ["name", "name_tokens", "address_tokens"]
+#: Candidates of one key that are joined at once.
+SLICE = 1000
 
 
 def _sides(rec: DataFrame, key) -> tuple[DataFrame, DataFrame]:
@@ -17,25 +19,44 @@ def _sides(rec: DataFrame, key) -> tuple[DataFrame, DataFrame]:
     return a, b
 
 
-def _within_blocks(a: DataFrame, b: DataFrame, max_block: int) -> DataFrame:
-    """Equal keys of one country; keys with more than max_block candidates are left out before the join, so no group is squared."""
-    small = b.groupBy("country", "key").agg(F.count("*").alias("n")).filter(F.col("n") <= max_block).drop("n")
-    return a.join(small, ["country", "key"]).join(b, ["country", "key"]).drop("key")
+def _by_key(a: DataFrame, b: DataFrame) -> DataFrame:
+    """All pairs of one country with equal keys; the candidates of a crowded key are dealt into slices of about SLICE, each joined by itself."""
+    crowded = b.groupBy("country", "key").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).filter("slices > 1")
+    slices = F.coalesce("slices", F.lit(1))
+    a = a.join(crowded, ["country", "key"], "left").withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1))).drop("slices")
+    b = b.join(crowded, ["country", "key"], "left").withColumn("slice", F.pmod(F.xxhash64("cand_id"), slices).cast("int")).drop("slices")
+    return a.join(b, ["country", "key", "slice"]).drop("key", "slice")
 
 
-def same_key(rec: DataFrame, column: str, max_block: int = 200) -> DataFrame:
+def _keyed(rec: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    return _sides(rec.filter(F.col(column).isNotNull() & (F.col("text") != "")), F.col(column))
+
+
+def same_key(rec: DataFrame, column: str) -> DataFrame:
     """Pairs of one country with an equal, known value."""
-    return _within_blocks(*_sides(rec.filter(F.col(column).isNotNull() & (F.col("text") != "")), F.col(column)), max_block)
+    return _by_key(*_keyed(rec, column))
+
 
+def not_same_key(pairs: DataFrame, rec: DataFrame, column: str) -> DataFrame:
+    """Those of pairs(s1_id, cand_id) that same_key does not have; only the given pairs are looked at."""
+    a, b = _keyed(rec, column)
+    keyed = pairs.select("s1_id", "cand_id").join(a.select("s1_id", "country", "key"), "s1_id")
+    same = keyed.join(b.select("cand_id", "country", "key"), ["cand_id", "country", "key"], "left_semi").select("s1_id", "cand_id")
+    return pairs.join(same, ["s1_id", "cand_id"], "left_anti")
 
-def same_address(rec: DataFrame, max_block: int = 200) -> DataFrame:
-    return _within_blocks(*_sides(rec.filter(F.size("address_tokens") > 0), F.array_join("address_tokens", " ")), max_block)
 
+def address_substitutions(rec: DataFrame) -> DataFrame:
+    """(x, y, n): pairs of names at one address of one country that differ by one token on each side.
 
-def substitutions(pairs: DataFrame) -> DataFrame:
-    """(x, y, n): pairs of names that differ by one token on each side."""
-    diff = pairs.select(F.array_except("a_name_tokens", "b_name_tokens").alias("l"), F.array_except("b_name_tokens", "a_name_tokens").alias("r"))
-    return diff.filter((F.size("l") == 1) & (F.size("r") == 1)).select(F.get("l", F.lit(0)).alias("x"), F.get("r", F.lit(0)).alias("y")).groupBy("x", "y").agg(F.count("*").alias("n"))
+    Such names agree once x and y are taken out. Names are counted by what is left before they meet, so a crowded
+    address costs its distinct names and not its pairs.
+    """
+    names = rec.filter(F.size("address_tokens") > 0).select("country", "source", F.array_join("address_tokens", " ").alias("key"), F.array_sort(F.array_distinct("name_tokens")).alias("ts"))
+    each = names.groupBy("country", "key", "ts").agg(F.count_if(F.col("source") == 1).alias("n_a"), F.count_if(F.col("source") > 1).alias("n_b"))
+    each = each.withColumn("t", F.explode("ts")).withColumn("rest", F.array_join(F.array_remove("ts", F.col("t")), " ")).drop("ts")
+    a = each.filter("n_a > 0").select("country", "key", "rest", F.col("t").alias("x"), "n_a")
+    b = each.filter("n_b > 0").select("country", "key", "rest", F.col("t").alias("y"), "n_b")
+    return a.join(b, ["country", "key", "rest"]).filter("x <> y").groupBy("x", "y").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("n"))
 
 
 def mine_abbreviations(subs: DataFrame, least: int = 30, share: float = 0.6) -> DataFrame:

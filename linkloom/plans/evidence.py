@@ -11,7 +11,7 @@ from linkloom.operators import decide as D
 from linkloom.operators import evaluate as V
 from linkloom.operators import evidence as W
 from linkloom.operators import profile as R
-from linkloom.operators.pairs import number_pairs, same_key
+from linkloom.operators.pairs import not_same_key, number_pairs, same_key
 from linkloom.plans.records import LISTS, _rescored
 from linkloom.plans.registry import query
 from linkloom.sources.tables import materialized
@@ -192,8 +192,8 @@ def _(spark, d):
 
 @query("matches_within_candidates", f"{E}, {TRUTH_SQL} select s1_id, matched_id from truth where (s1_id, matched_id) not in (select a.entity_id, b.entity_id from rec a join rec b on a.country = b.country and a.name = b.name join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name where a.source = 1 and b.source > 1)")
 def _(spark, d):
-    rec = records(spark, d)
-    return truth(spark, d).select("s1_id", "matched_id").join(same_key(rec, "name").select("s1_id", F.col("cand_id").alias("matched_id")), ["s1_id", "matched_id"], "left_anti")
+    found = truth(spark, d).select("s1_id", F.col("matched_id").alias("cand_id"))
+    return not_same_key(found, records(spark, d), "name").withColumnRenamed("cand_id", "matched_id")
 
 
 @query("candidates_full")

@@ -96,12 +96,12 @@ SUBS = "subs as (select x, y, count(*) as n from (select list_filter(list_distin
 
 @query("substitution_counts", f"{E}, {SUBS} select x, y, n from subs")
 def _(spark, d):
-    return Q.substitutions(Q.same_address(records(spark, d)))
+    return Q.address_substitutions(records(spark, d))
 
 
 @query("mined_abbreviations", f"{E}, {SUBS}, c as (select case when length(x) < length(y) then x else y end as short, case when length(x) < length(y) then y else x end as long, sum(n) as n from subs where length(x) <> length(y) and left(x, 1) = left(y, 1) group by 1, 2), s as (select *, sum(n) over (partition by short) as whole, row_number() over (partition by short order by n desc, long desc) as r from c where not regexp_matches(short || long, '[0-9]') and regexp_matches(long, '^' || array_to_string(string_split(short, ''), '.*'))) select short, long, cast(n as bigint) as n, round(n / whole, 6) as share from s where r = 1 and n / whole >= 0.6")
 def _(spark, d):
-    return Q.mine_abbreviations(Q.substitutions(Q.same_address(records(spark, d))), least=1)
+    return Q.mine_abbreviations(Q.address_substitutions(records(spark, d)), least=1)
 
 
 @query("edge_tokens", f"{E}, t as (select country, 'first' as edge, nt[1] as token from rec where len(nt) >= 2 union all select country, 'last', nt[-1] from rec where len(nt) >= 2), c as (select country, edge, token, count(*) as n from t group by 1, 2, 3) select country, edge, token, n from (select *, row_number() over (partition by country, edge order by n desc, token) as r from c) where r <= 20")
