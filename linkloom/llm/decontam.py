@@ -13,8 +13,11 @@ within `max_edits` (a share of the item's words) word edits of the item.
    differ, with constant probability, in O(e^2) places of the walk.
 3. Repeated bit sampling.  Every repetition walks anew and hashes a few sampled
    places of the walk; windows are looked up in the table of the items of their length.
-   REPETITIONS reaches TARGET_RECALL for random edits at the limit (see the tests).
-4. Verification.  Candidates are checked by exact edit distance between words.
+   REPETITIONS reaches TARGET_RECALL for random edits at the limit up to PIECE_WORDS (see
+   the tests); longer items are cut into pieces of at most so many words.  If a part of a
+   text is within the limit of the whole item, it is within the limit of a piece at least,
+   so the steps above are done for every piece as for an item.
+4. Verification.  Candidates are checked by exact edit distance between words, of whole items.
 
 Items reach the workers in blocks of bounded size; each block is held against all
 documents, so a benchmark of any size is covered.  Documents are never shuffled.
@@ -42,6 +45,8 @@ REPETITIONS = 48
 SAMPLES = (4, 2)
 LONG_WORDS = 32
 TARGET_RECALL = 0.99
+#: Longer items are looked for by their pieces.
+PIECE_WORDS = 100
 #: Most words of the items of one block.
 BLOCK_WORDS = 2_000_000
 
@@ -115,34 +120,42 @@ def nearest(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(row[end]), end - int(np.flatnonzero(back == row[end])[-1]), end
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first word, end) of the fewest even pieces of an item of n words; the edits allowed in them sum up to those of the item or less."""
+    ends = np.linspace(0, n, -(-n // PIECE_WORDS) + 1).astype(int).tolist()
+    return list(zip(ends[:-1], ends[1:], strict=True))
+
+
 @dataclass
 class Items:
-    """A block of benchmark items, by number of words."""
+    """A block of benchmark items, in pieces by number of words."""
 
     ids: list
     words: list[np.ndarray]
-    tables: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # length -> per repetition (sorted keys, item of each)
-    triples: np.ndarray  # sorted hashes of the items' word triples
+    tables: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # length -> per repetition (sorted keys, piece of each)
+    piece: np.ndarray  # item and first word of each piece
+    triples: np.ndarray  # sorted hashes of the pieces' word triples
     classes: np.ndarray  # for each triple, a bit for each class of lengths that has it
 
     @classmethod
     def build(cls, ids: list, words: list[np.ndarray]) -> Items:
+        cuts = [(i, a, b) for i, w in enumerate(words) for a, b in pieces(len(w))]
+        parts = [words[i][a:b] for i, a, b in cuts]
         by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            if len(w):
-                by_length.setdefault(len(w), []).append(i)
+        for k, w in enumerate(parts):
+            by_length.setdefault(len(w), []).append(k)
         tables = {}
         for n, members in by_length.items():
-            keys = buckets(np.stack([words[i] for i in members]))
+            keys = buckets(np.stack([parts[k] for k in members]))
             order = np.argsort(keys, axis=1, kind="stable")
             tables[n] = [(key[o], np.array(members)[o]) for key, o in zip(keys, order, strict=True)]
-        found = [triple_hashes(w) for w in words]
-        bits = [np.full(len(t), 1 << (len(w) % 64), dtype=np.uint64) for t, w in zip(found, words, strict=True)]
+        found = [triple_hashes(w) for w in parts]
+        bits = [np.full(len(t), 1 << (len(w) % 64), dtype=np.uint64) for t, w in zip(found, parts, strict=True)]
         every, bit = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (found, bits))
         order = np.argsort(every, kind="stable")
         triples, first = np.unique(every[order], return_index=True)
         classes = np.bitwise_or.reduceat(bit[order], first) if len(first) else bit
-        return cls(ids, words, tables, triples, classes)
+        return cls(ids, words, tables, np.array([c[:2] for c in cuts], dtype=np.int64).reshape(-1, 2), triples, classes)
 
 
 def triple_hashes(words: np.ndarray) -> np.ndarray:
@@ -168,6 +181,7 @@ def search(items: Items, known: np.ndarray, data: np.ndarray, offsets: np.ndarra
     else:
         hit, classes = hit[:0], items.classes[:0]
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    reached: dict[tuple[int, int], tuple[int, int]] = {}  # first and last place where the item may begin
     for n, tables in items.tables.items():
         e = edits_allowed(n)
         if n >= 3:
@@ -195,20 +209,23 @@ def search(items: Items, known: np.ndarray, data: np.ndarray, offsets: np.ndarra
         inside = place < limit[starts][:, None]
         strings[inside] = hashes[np.minimum(place, len(hashes) - 1)][inside]
         own = buckets(strings)
-        reached: dict[tuple[int, int], tuple[int, int]] = {}
         for r, (keys, members) in enumerate(tables):
             low, high = np.searchsorted(keys, own[r], side="left"), np.searchsorted(keys, own[r], side="right")
             for i in np.flatnonzero(high > low):
-                at, text = int(starts[i]), int(doc[starts[i]])
-                for item in members[low[i] : high[i]]:
-                    a, b = reached.get((text, int(item)), (at, at))
-                    reached[text, int(item)] = (min(a, at), max(b, at))
-        for (text, item), (a, b) in reached.items():
-            # exact: the nearest part of all that the colliding windows cover, with room for the edits allowed
-            a, b = max(int(w.first[text]), a - e), min(int(w.first[text + 1]), b + n + e)
-            d, first, last = nearest(items.words[item], hashes[a:b])
-            if d <= e:
-                best[text, item] = (d, a + first, last - first)
+                text = int(doc[starts[i]])
+                for item, first in items.piece[members[low[i] : high[i]]].tolist():
+                    at = int(starts[i]) - first
+                    a, b = reached.get((text, item), (at, at))
+                    reached[text, item] = (min(a, at), max(b, at))
+    for (text, item), (a, b) in reached.items():
+        # exact: the nearest part of all that the colliding windows cover, with room for the edits allowed, before the piece and in it
+        n = len(items.words[item])
+        e = edits_allowed(n)
+        room = e if n <= PIECE_WORDS else 2 * e
+        a, b = max(int(w.first[text]), a - room), min(int(w.first[text + 1]), b + n + room)
+        d, first, last = nearest(items.words[item], hashes[a:b])
+        if d <= e:
+            best[text, item] = (d, a + first, last - first)
     return [(text, item, d, int(start - w.first[text]), length) for (text, item), (d, start, length) in best.items()]
 
 

@@ -77,3 +77,23 @@ def test_stage(spark, docs, data):
     leaks = {r.doc_id for r in D.op3_decontaminate(spark, data).collect()}
     kept = {r.doc_id for r in D.stage_decontaminate(spark, docs, data).collect()}
     assert leaks and kept == {r.doc_id for r in docs.select("doc_id").collect()} - leaks
+
+
+@pytest.mark.parametrize("n", [150, 400, 800, 1200, 2000])
+def test_recall_of_long_items(n):
+    """Edited copies at the limit, with text around them, are found whatever the item's length."""
+    rng, tries, found = random.Random(n), 50, 0
+    for _ in range(tries):
+        item = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        copy = list(item)
+        for _ in range(D.edits_allowed(n)):
+            k = rng.randrange(len(copy))
+            rng.choice([lambda: copy.__setitem__(k, f"e{rng.random()}"[:9].replace(".", "")), lambda: copy.insert(k, "added"), lambda: copy.pop(k)])()
+        body = [f"b{rng.randrange(10**9)}" for _ in range(200)]
+        raw = " ".join(body[:100] + copy + body[100:]).encode()
+        words = lambda x: D.tokens(np.frombuffer(x, dtype=np.uint8), np.array([0, len(x)]))[0]
+        items = D.Items.build([7], [words(" ".join(item).encode())])
+        got = D.search(items, D._known(items), np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
+        assert all(d <= D.edits_allowed(n) for _, _, d, _, _ in got)
+        found += len(got) == 1
+    assert found / tries >= D.TARGET_RECALL - 0.01
