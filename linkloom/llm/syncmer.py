@@ -4,8 +4,9 @@ Symbols are words, hashed to 64 bits.  A k-mer of WORDS words is an anchor (a cl
 syncmer) if the least of its inner hashes (of single words) stands at its first or last
 place.  Whether a k-mer is chosen depends on nothing around it, so two texts choose the
 same anchors wherever they share words, and most neighbouring anchors overlap.  The
-fingerprint keeps the KEPT least 32-bit anchor hashes; the likeness of
-two fingerprints estimates the Jaccard similarity of the texts' anchor sets.
+fingerprint keeps the 32-bit hash of every anchor, in order of place, and the places beside it.
+The likeness of two fingerprints is the Jaccard similarity of the texts' anchor sets; matched by
+place, only those shared anchors count that stand at one common shift.
 
 A text of fewer than WORDS words has one anchor, made of all its words; a text without words
 has an empty fingerprint, which is like another empty one only.
@@ -20,7 +21,8 @@ from pyspark.sql.window import Window
 from .common import table
 
 WORDS = 3
-KEPT = 64
+#: Most values of a fingerprint: no bound, all anchors are kept.
+KEPT = None
 SPACE = r"[\x20\x09-\x0D]+"
 #: Document ids per slice when neighbours are looked for.
 SLICE = 4096
@@ -50,25 +52,57 @@ def anchors(docs: DataFrame, text: str = "text") -> DataFrame:
     return chosen.withColumn("anchors", placed).drop("hashes_", "chosen_")
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add column `out`, the fingerprint of `text`: KEPT ascending 32-bit values, eight hex digits each."""
+def _hash(anchor: Column) -> Column:
+    return F.shiftrightunsigned(anchor, 32)
+
+
+def _place(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit(2**31 - 1))
+
+
+def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add column `out`, the anchors of `text` by place: each a long of the upper half of its hash and its place."""
     hashed = df.withColumn("hashes_", word_hashes(F.col(text)))
     chosen = hashed.withColumn("chosen_", anchor_hashes(F.col("hashes_"))).drop("hashes_")
-    short = F.transform(F.array_compact("chosen_"), lambda h: F.shiftrightunsigned(h, 32))
-    kept = chosen.withColumn("kept_", F.slice(F.sort_array(F.array_distinct(short)), 1, KEPT)).drop("chosen_")
-    return kept.withColumn(out, F.array_join(F.transform("kept_", lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")).drop("kept_")
+    packed = F.transform("chosen_", lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 32), 32).bitwiseOR(i.cast("long")))
+    return chosen.withColumn(out, F.array_compact(packed)).drop("chosen_")
+
+
+def _digits(part: Column) -> Column:
+    return F.array_join(F.transform(part, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
-def values(fingerprint: Column) -> Column:
-    return F.when(fingerprint == "", F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), (F.length(fingerprint) / 8).cast("int") - 1), lambda i: F.substr(fingerprint, (i * 8 + 1).cast("int"), F.lit(8))))
+def fingerprint(anchors: str) -> Column:
+    """The hashes of all anchors by place, eight hex digits each."""
+    return _digits(F.transform(anchors, _hash))
 
 
-def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """Add `out`: of the KEPT least values of both fingerprints, the share that is in both (0 to 1); equal ones have 1."""
-    split = df.withColumn("a_", values(F.col(a))).withColumn("b_", values(F.col(b)))
-    both = split.withColumn("u_", F.slice(F.sort_array(F.array_union("a_", "b_")), 1, KEPT))
-    shared = F.size(F.array_intersect(F.array_intersect("u_", "a_"), F.col("b_"))) / F.size("u_")
-    return both.withColumn(out, F.when(F.col(a) == F.col(b), 1.0).when(F.size("u_") == 0, 0.0).otherwise(shared)).drop("a_", "b_", "u_")
+def places(anchors: str) -> Column:
+    """The places of the fingerprint's values, eight hex digits each."""
+    return _digits(F.transform(anchors, _place))
+
+
+def _firsts(anchors: str) -> Column:
+    """Of sorted anchors, the first place of each hash."""
+    return F.filter(anchors, lambda v, i: (i == 0) | (_hash(v) != _hash(F.get(F.col(anchors), i - 1))))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, near: str, placed: str) -> DataFrame:
+    """Add `near`: of the distinct hashes of both, the share that is in both; and `placed`: the share that stands at one shift in both.
+
+    A hash stands where it stands first.  The shift is the one that most shared hashes have.  Two empty ones have 1.
+    """
+    x = df.withColumn("a_", F.sort_array(a)).withColumn("b_", F.sort_array(b))
+    x = x.withColumn("first_a_", _firsts("a_")).withColumn("first_b_", _firsts("b_"))
+    other = F.transform("first_b_", lambda v: v.bitwiseOR(F.lit(2**31)))  # tells the sides apart, and sorts the second after the first
+    x = x.withColumn("n_", F.size("first_a_") + F.size("first_b_")).withColumn("s_", F.sort_array(F.concat("first_a_", other))).drop("first_a_", "first_b_", "a_", "b_")
+    after = lambda i: F.get(F.col("s_"), i + 1)
+    x = x.withColumn("d_", F.sort_array(F.array_compact(F.transform("s_", lambda v, i: F.when(_hash(v) == _hash(after(i)), _place(after(i)) - _place(v)))))).drop("s_")
+    x = x.withColumn("t_", F.array_compact(F.transform("d_", lambda v, i: F.when((i == 0) | (v != F.get(F.col("d_"), i - 1)), i))))
+    run = F.array_max(F.transform("t_", lambda v, i: F.coalesce(F.get(F.col("t_"), i + 1), F.size("d_")) - v))
+    whole = F.col("n_") - F.size("d_")
+    share = lambda k: F.when(whole == 0, 1.0).otherwise(k / whole)
+    return x.withColumn(near, share(F.size("d_"))).withColumn(placed, share(F.coalesce(run, F.lit(0)))).drop("n_", "d_", "t_")
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
@@ -95,20 +129,22 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     """
     first_id = -(2**63)  # stands for a null id, which a join could not match
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(first_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    # both joins below read exactly these columns by the same keys, so the texts are shuffled once
-    marked = with_fingerprint(base, "text", "fingerprint")
     order = neighbours(base.select("doc_id", "tie").distinct())
     sizes = base.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.floor(F.length("text") / 4).cast("int").alias("q")).distinct()
     before = order.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.col("next_id").alias("doc_id"), F.col("next_tie").alias("tie")).join(sizes, ["own_id", "own_tie"])
-    # what the document before needs of this one: a prefix and the fingerprint
-    given = marked.join(before, ["doc_id", "tie"]).select("own_id", "own_tie", F.expr("substring(text, 1, q)").alias("borrowed"), F.col("fingerprint").alias("next_fingerprint"))
-    once = given.withColumn("row_", F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy("next_fingerprint"))).filter("row_ = 1").drop("row_")
+    # both joins read exactly the columns of base by the same keys, so the texts are shuffled once; anchors are found after it,
+    # for they are about as large as the texts. What the document before needs of this one: a prefix and the anchors
+    given = with_anchors(base.join(before, ["doc_id", "tie"]), "text", "next_anchors").select("own_id", "own_tie", F.expr("substring(text, 1, q)").alias("borrowed"), "next_anchors")
+    once = given.withColumn("row_", F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy("next_anchors"))).filter("row_ = 1").drop("row_")
     once = once.withColumnRenamed("own_id", "doc_id").withColumnRenamed("own_tie", "tie")
-    joined = marked.join(once, ["doc_id", "tie"]).withColumn("n_chars", F.length("text").cast("long"))
+    joined = with_anchors(base.join(once, ["doc_id", "tie"]).withColumn("n_chars", F.length("text").cast("long")), "text", "anchors")
     edited = joined.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), borrowed)")).drop("text", "borrowed")
-    edited = with_fingerprint(edited.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_fingerprint").drop("edited")
-    liked = with_likeness(with_likeness(edited, "fingerprint", "edited_fingerprint", "near_edited"), "fingerprint", "next_fingerprint", "near_next")
-    return liked.select(F.when(F.col("doc_id") != first_id, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    edited = with_anchors(edited.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_anchors").drop("edited")
+    liked = with_likeness(with_likeness(edited, "anchors", "edited_anchors", "near_edited", "placed_edited"), "anchors", "next_anchors", "near_next", "placed_next")
+    return liked.select(
+        F.when(F.col("doc_id") != first_id, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", fingerprint("anchors").alias("fingerprint"), places("anchors").alias("places"),
+        fingerprint("edited_anchors").alias("edited_fingerprint"), places("edited_anchors").alias("edited_places"), "near_edited", "near_next", "placed_edited", "placed_next",
+    )
 
 
 def op7_syncmer_fingerprint(spark, sf_dir: str) -> DataFrame:

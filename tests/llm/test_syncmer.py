@@ -43,3 +43,23 @@ def test_awkward(spark, awkward, empty):
     assert S.compare_edited(empty).count() == 0
     one = S.compare_edited(spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")).first()
     assert one.near_next == 1.0
+
+
+def test_long_texts_keep_all_anchors_and_places(spark):
+    """Of two long texts that share one passage, the likeness and the common shift are exact."""
+    own, other, shared = [f"a{i}" for i in range(900)], [f"b{i}" for i in range(1300)], [f"s{i}" for i in range(300)]
+    rows = [(1, " ".join(own + shared)), (2, " ".join(other[:200] + shared + other[200:]))]
+    got = {r.doc_id: r for r in S.compare_edited(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = {r.doc_id: {x.place: x.hash for x in r.anchors} for r in S.anchors(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, r in got.items():
+        digits = lambda t: [int(t[k : k + 8], 16) for k in range(0, len(t), 8)]
+        assert dict(zip(digits(r.places), digits(r.fingerprint), strict=True)) == {p: h % 2**64 >> 32 for p, h in want[i].items()}
+        both, every = set(want[1].values()) & set(want[2].values()), set(want[1].values()) | set(want[2].values())
+        assert len(both) > 100 and abs(r.near_next - len(both) / len(every)) < 1e-9 and abs(r.placed_next - r.near_next) < 1e-9
+
+
+def test_moved_words_are_not_matched_by_place(spark):
+    blocks = [[f"w{b}x{i}" for i in range(50)] for b in range(4)]
+    text = lambda order: " ".join(w for b in order for w in blocks[b])
+    r = S.compare_edited(spark.createDataFrame([(1, text([0, 1, 2, 3])), (2, text([3, 2, 1, 0]))], "doc_id long, text string")).first()
+    assert r.near_next > 0.8 and r.placed_next < 0.4
