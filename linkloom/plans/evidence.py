@@ -201,7 +201,7 @@ def _(spark, d):
     from linkloom.operators.linker import Settings, candidates
 
     rec = materialized(W.parsed(records(spark, d)).drop("text"))
-    return candidates(rec, Settings(max_df=50, k_comb=20, k=10, max_block=200, budget=20)).select("s1_id", "cand_id", "passes", F.round("priority", 6).alias("priority"), "rank")
+    return candidates(rec, Settings()).select("s1_id", "cand_id", "passes", F.round("priority", 6).alias("priority"), "rank")
 
 
 @query("link_records")
@@ -209,4 +209,4 @@ def _(spark, d):
     """From records to lists of matches: blocking, two learned rounds, calibration, one-to-one and expected-F selection."""
     from linkloom.operators.linker import Settings, link
 
-    return link(records(spark, d), truth(spark, d), Settings(max_df=50, k_comb=20, k=10, max_block=200, budget=20, keep=10, folds=2))
+    return link(records(spark, d), truth(spark, d), Settings())

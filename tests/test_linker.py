@@ -13,3 +13,11 @@ def test_other_scripts_are_not_crowded_out(spark):
     rec = df.withColumn("name_tokens", tokens(fold(df.name))).withColumn("address_tokens", tokens(fold(df.address)))
     got = {r.cand_id: r.passes for r in candidates(W.parsed(rec).drop("text"), Settings(k_comb=1, k=1)).collect()}
     assert got["S2-2"] == B.BIT["nonlatin_phon"] and not got["S2-1"] & B.BIT["nonlatin_phon"]
+
+
+def test_registered_at_full_size(spark, data):
+    """More candidates than the 20 of a reduced budget."""
+    import __spark_entry__ as entry
+
+    got = entry.queries()["candidates_full"](spark, data).groupBy("s1_id").count().agg({"count": "max"}).first()[0]
+    assert got > 20
