@@ -7,11 +7,13 @@ cost per word is a few array passes instead of interpreted Python.
 from __future__ import annotations
 
 import math
+import pickle
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         _, odd, inverse = _SEEDS[which]
         with np.errstate(over="ignore"):
             have = tuple(np.multiply.accumulate(np.concatenate(([U64(1)], np.full(size - 1, b, dtype=np.uint64)))) for b in (odd, inverse))
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _POWERS[which] = have
     return have
 
@@ -162,6 +164,19 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def share(spark: SparkSession, model):
+    """Broadcast a model with its classes by value, so that workers need nothing of this package; `opened` reads it there."""
+    buffers: list = []
+    head = cloudpickle.dumps(model, protocol=5, buffer_callback=buffers.append)
+    return spark.sparkContext.broadcast((head, [b.raw().tobytes() for b in buffers]))
+
+
+def opened(shared):
+    """The model of `share`; its arrays are read-only and lie in the broadcast's own memory."""
+    head, buffers = shared.value
+    return pickle.loads(head, buffers=buffers)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, mix64, table
+from .common import SpanHash, U64, Words, byte_values, chunks, mix64, opened, share, table
 
 #: Edits allowed, as a share of an item's words.
 MAX_EDITS = 0.15
@@ -264,10 +264,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
     found = None
     for block in item_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words
+        shared = share(spark, block)  # at most BLOCK_WORDS words
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = shared.value
+            items = opened(shared)
             known = _known(items)
             for batch in batches:
                 rows = []
@@ -289,10 +289,10 @@ def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of docs that hold no benchmark item; all columns stay. Each row is judged where it lies, block after block."""
     text_at = docs.columns.index("text")
     for block in item_blocks(table(spark, sf_dir, "benchmark")):
-        shared = spark.sparkContext.broadcast(block)
+        shared = share(spark, block)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = shared.value
+            items = opened(shared)
             known = _known(items)
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)

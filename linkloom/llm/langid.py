@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, table
+from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, opened, share, table
 
 #: log2 of the number of slots for whole words, beginnings and endings.
 BITS = (17, 14, 14)
@@ -176,7 +176,7 @@ def _identify(shared):
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: LanguageModel = shared.value
+        model: LanguageModel = opened(shared)
         for batch in batches:
             pred, score, spans = [], [], []
             for row, stop, data, offsets in chunks(batch, size=CHUNK):
@@ -225,7 +225,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out=None) -> DataFrame:
     share of the text's letter-bearing bytes that carry the predicted label; spans are byte
     ranges.  Ties go to the language that sorts first; repeated rows get equal results.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size for a given set of languages
+    shared = share(docs.sparkSession, model)  # fixed size for a given set of languages
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
     return plain.mapInArrow(_identify(shared), IDENTIFIED)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, table
+from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, opened, share, table
 
 #: Labelled rows of each class that the machine is fitted on, at most.
 SAMPLE_PER_CLASS = 1500
@@ -163,8 +163,8 @@ def fit(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, pr
                 g2[mine] += summed * summed
                 v[mine] -= FACTOR_RATE * summed / np.sqrt(g2[mine])
     keep = w != 0
-    share = label.mean()
-    shift = np.log(prior / (1 - prior)) - np.log(share / (1 - share)) if 0 < prior < 1 else 0.0
+    positive = label.mean()
+    shift = np.log(prior / (1 - prior)) - np.log(positive / (1 - positive)) if 0 < prior < 1 else 0.0
     return FactorizationMachine(vocabulary[keep], w[keep], v[keep], float(bias + shift))
 
 
@@ -184,8 +184,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     """docs(doc_id, text), labels(doc_id, label): rows without an id or a label teach nothing; an id with
     several labels counts once, as 1 if any of them is."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    share = known.agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()
-    if not share["n"]:
+    facts = known.agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()
+    if not facts["n"]:
         return FactorizationMachine()
     # the least hashes of each class: every task sends its own least ones only
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     # one text an id, in order of ids, read in place from the buffers
     _, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
     texts, values = [np.frombuffer(rows["terms"][i].as_buffer(), dtype=np.uint64) for i in first], [np.frombuffer(rows["value"][i].as_buffer(), dtype=np.float32) for i in first]
-    return fit(texts, values, rows["label"].to_numpy()[first].astype(np.float64), min(max(float(share["p"]), 1e-4), 1 - 1e-4)) if texts else FactorizationMachine()
+    return fit(texts, values, rows["label"].to_numpy()[first].astype(np.float64), min(max(float(facts["p"]), 1e-4), 1 - 1e-4)) if texts else FactorizationMachine()
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
@@ -203,7 +203,7 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value.prepared()
+        model, known = opened(shared).prepared()
         for batch in batches:
             score = [model.score(data, offsets, known) for _, _, data, offsets in chunks(batch)]
             s = np.concatenate(score) if score else np.zeros(0)
@@ -217,7 +217,7 @@ def score(docs: DataFrame, model: FactorizationMachine, held_out=None) -> DataFr
 
     Repeated rows get equal scores; other columns of docs play no part.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the terms of the sample
+    shared = share(docs.sparkSession, model)  # bounded by the terms of the sample
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
     return plain.mapInArrow(_score(shared), SCORED)
 
@@ -237,11 +237,11 @@ def stage_toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The text is scored where the row lies, so nothing is joined back and repeated or null ids do no harm.
     """
-    shared = spark.sparkContext.broadcast(train(table(spark, sf_dir, "documents"), toxic_labels(spark, sf_dir)))
+    shared = share(spark, train(table(spark, sf_dir, "documents"), toxic_labels(spark, sf_dir)))
     text_at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value.prepared()
+        model, known = opened(shared).prepared()
         for batch in batches:
             s = [model.score(data, offsets, known) for _, _, data, offsets in chunks(batch, batch.schema.names[text_at])]
             yield batch.filter(pa.array(np.concatenate(s) < 0.5 if s else np.zeros(0, dtype=bool)))

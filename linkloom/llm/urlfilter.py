@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, mix64, table, text_buffer
+from .common import U64, mix64, opened, share, table, text_buffer
 
 #: (host, path prefix, verdict): fixed values of the contract.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -171,10 +171,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFr
     host, path = host_path(F.col("url"))
     parts = match_rules(pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path")), rules).withColumn("address", F.concat("host", "path"))
     model = train(parts.filter(F.col("rule_verdict").isNotNull()).select("page_id", "address", "rule_verdict"))
-    shared = parts.sparkSession.sparkContext.broadcast(model)  # fixed size: classes x orders x slots
+    shared = share(parts.sparkSession, model)  # fixed size: classes x orders x slots
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = opened(shared)
         for f in frames:
             ratio = own.difference(f["address"]).astype(np.float64)
             said = np.where(ratio > own.threshold, "allow", "block")
