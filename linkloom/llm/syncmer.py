@@ -14,6 +14,8 @@ has an empty fingerprint, which is like another empty one only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,11 +23,10 @@ from pyspark.sql.window import Window
 from .common import table
 
 WORDS = 3
-#: Most values of a fingerprint: no bound, all anchors are kept.
-KEPT = None
 SPACE = r"[\x20\x09-\x0D]+"
-#: Document ids per slice when neighbours are looked for.
-SLICE = 4096
+#: Neighbouring documents lie together in slices of about so many rows; there are so many slices at most.
+SLICE_ROWS = 1000
+MOST_SLICES = 1 << 16
 
 
 def word_hashes(text: Column) -> Column:
@@ -105,20 +106,44 @@ def with_likeness(df: DataFrame, a: str, b: str, near: str, placed: str) -> Data
     return x.withColumn(near, share(F.size("d_"))).withColumn(placed, share(F.coalesce(run, F.lit(0)))).drop("n_", "d_", "t_")
 
 
-def neighbours(keys: DataFrame) -> DataFrame:
-    """(doc_id, tie, next_id, next_tie) for distinct keys(doc_id, tie) in ascending order; after the last comes the first.
+def slice_bounds(ids: DataFrame, rows: int) -> list[int]:
+    """Ascending ids that cut ids(doc_id) into slices of about SLICE_ROWS rows, from percentiles of a hash sample of bounded size.
+
+    Which slice a row falls into changes no result, only how evenly the rows are dealt.
+    """
+    n = min(MOST_SLICES, rows // SLICE_ROWS)
+    if n < 2:
+        return []
+    sampled = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < math.ceil((1 << 30) * min(1.0, 32 * n / rows)))
+    found = sampled.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def slice_of(doc_id: Column, bounds: list[int]) -> Column:
+    """How many bounds are at or below the id, by bisection."""
+    if not bounds:
+        return F.lit(0)
+    known = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when((low + step <= len(bounds)) & (F.get(known, low + step - 1) <= doc_id), low + step).otherwise(low))
+
+
+def with_next(base: DataFrame) -> DataFrame:
+    """Distinct rows of base(doc_id, tie, text) in ascending order, with `rows_`, how often each occurs, and `next_text`; after the last comes the first.
 
-    Neighbours are found within slices of ids; only the first key of each slice goes through one ordered pass.
+    Rows are dealt in slices of neighbouring ids, so a row finds its next one where it lies.  The last row of a slice
+    finds it in a copy of the next slice's first row, which is sent there: one row a slice.
     """
-    sliced = keys.withColumn("slice_", F.floor(F.col("doc_id") / F.lit(SLICE)))
-    key = F.struct("doc_id", "tie")
-    inner = sliced.withColumn("next_", F.lead(key).over(Window.partitionBy("slice_").orderBy("doc_id", "tie")))
-    firsts = sliced.groupBy("slice_").agg(F.min(key).alias("first_"))
-    ordered = Window.orderBy("slice_")
-    whole = Window.partitionBy()
-    firsts = firsts.withColumn("after_", F.coalesce(F.lead("first_").over(ordered), F.min(F.struct("slice_", "first_")).over(whole)["first_"])).select("slice_", "after_")
-    joined = inner.join(firsts, "slice_").withColumn("next_", F.coalesce("next_", "after_"))
-    return joined.select("doc_id", "tie", F.col("next_.doc_id").alias("next_id"), F.col("next_.tie").alias("next_tie"))
+    bounds = slice_bounds(base.select("doc_id"), base.count())
+    sliced = base.withColumn("slice_", slice_of(F.col("doc_id"), bounds))
+    # a row a slice, at most MOST_SLICES: the slice before each one's first row, in a circle
+    heads = sorted((r["slice_"], *r["key"]) for r in sliced.groupBy("slice_").agg(F.min(F.struct("doc_id", "tie")).alias("key")).collect())
+    ends = base.sparkSession.createDataFrame([(*key, heads[i - 1][0]) for i, (_, *key) in enumerate(heads)], "doc_id long, tie long, slice_ int")
+    sent = base.join(F.broadcast(ends), ["doc_id", "tie"]).select("slice_", F.lit(1).alias("end_"), "doc_id", "tie", "text")
+    dealt = sliced.select("slice_", F.lit(0).alias("end_"), "doc_id", "tie", "text").unionByName(sent).repartition("slice_")
+    once = dealt.groupBy("slice_", "end_", "doc_id", "tie").agg(F.min("text").alias("text"), F.count("*").alias("rows_"))
+    order = Window.partitionBy("slice_").orderBy("end_", "doc_id", "tie")
+    return once.withColumn("next_text", F.lead("text").over(order)).filter("end_ = 0").drop("slice_", "end_")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -127,21 +152,15 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     A null text is empty.  Rows that share an id follow each other by a hash of their
     text; a null id comes first.  Repeated rows get equal results.  A single document is followed by itself.
     """
-    first_id = -(2**63)  # stands for a null id, which a join could not match
+    first_id = -(2**63)  # stands for a null id
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(first_id)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    order = neighbours(base.select("doc_id", "tie").distinct())
-    sizes = base.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.floor(F.length("text") / 4).cast("int").alias("q")).distinct()
-    before = order.select(F.col("doc_id").alias("own_id"), F.col("tie").alias("own_tie"), F.col("next_id").alias("doc_id"), F.col("next_tie").alias("tie")).join(sizes, ["own_id", "own_tie"])
-    # both joins read exactly the columns of base by the same keys, so the texts are shuffled once; anchors are found after it,
-    # for they are about as large as the texts. What the document before needs of this one: a prefix and the anchors
-    given = with_anchors(base.join(before, ["doc_id", "tie"]), "text", "next_anchors").select("own_id", "own_tie", F.expr("substring(text, 1, q)").alias("borrowed"), "next_anchors")
-    once = given.withColumn("row_", F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy("next_anchors"))).filter("row_ = 1").drop("row_")
-    once = once.withColumnRenamed("own_id", "doc_id").withColumnRenamed("own_tie", "tie")
-    joined = with_anchors(base.join(once, ["doc_id", "tie"]).withColumn("n_chars", F.length("text").cast("long")), "text", "anchors")
-    edited = joined.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), borrowed)")).drop("text", "borrowed")
-    edited = with_anchors(edited.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_anchors").drop("edited")
-    liked = with_likeness(with_likeness(edited, "anchors", "edited_anchors", "near_edited", "placed_edited"), "anchors", "next_anchors", "near_next", "placed_next")
-    return liked.select(
+    x = with_next(base).withColumn("n_chars", F.length("text").cast("long"))
+    x = x.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), substring(next_text, 1, cast(floor(n_chars / 4) as int)))"))
+    x = with_anchors(with_anchors(x.withColumn("edited_sha256", F.sha2("edited", 256)), "text", "anchors"), "edited", "edited_anchors")
+    x = with_anchors(x.drop("text", "edited"), "next_text", "next_anchors").drop("next_text")
+    liked = with_likeness(with_likeness(x, "anchors", "edited_anchors", "near_edited", "placed_edited"), "anchors", "next_anchors", "near_next", "placed_next")
+    every = liked.withColumn("row_", F.explode(F.sequence(F.lit(1), F.col("rows_").cast("int"))))
+    return every.select(
         F.when(F.col("doc_id") != first_id, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", fingerprint("anchors").alias("fingerprint"), places("anchors").alias("places"),
         fingerprint("edited_anchors").alias("edited_fingerprint"), places("edited_anchors").alias("edited_places"), "near_edited", "near_next", "placed_edited", "placed_next",
     )
