@@ -41,29 +41,30 @@ _ESCAPE = re.compile("|".join(rf"{re.escape(s[0])}\\*{re.escape(s[1:])}" for s i
 _UNESCAPE = re.compile("|".join(rf"{re.escape(s[0])}\\+{re.escape(s[1:])}" for s in CONTROL))
 
 
-def escape(text: str) -> str:
-    """Put one backslash after the first character of every control string, however many stand there already.
+#: Longer runs without a change between white space and other characters are encoded in pieces of so many characters: tokenisers recurse over a run.
+RUN = 1000
+_LONG_RUN = re.compile(rf"\s{{{RUN}}}|\S{{{RUN}}}")
 
-    Matches may overlap only at their first character ('<<SYS>>' holds '<s>'-like tails), so scanning is repeated
-    from the next character: the rewrite is done from right to left on all match positions.
-    """
+
+def _marks(pattern: re.Pattern, text: str) -> list[int]:
+    """Place after the first character of every match; matches may overlap, so each search starts one character after the last match's start."""
     at, found = 0, []
-    while m := _ESCAPE.search(text, at):
-        found.append(m.start() + 1)
+    while m := pattern.search(text, at):
         at = m.start() + 1
-    for i in reversed(found):
-        text = text[:i] + "\\" + text[i:]
-    return text
+        found.append(at)
+    return found
+
+
+def escape(text: str) -> str:
+    """Put one backslash after the first character of every control string, however many stand there already."""
+    marks = _marks(_ESCAPE, text)
+    return "\\".join(text[a:b] for a, b in zip([0, *marks], [*marks, len(text)], strict=True)) if marks else text
 
 
 def unescape(text: str) -> str:
-    at, found = 0, []
-    while m := _UNESCAPE.search(text, at):
-        found.append(m.start() + 1)
-        at = m.start() + 1
-    for i in reversed(found):
-        text = text[:i] + text[i + 1 :]
-    return text
+    marks = _marks(_UNESCAPE, text)
+    # the character after each mark is a backslash that goes
+    return "".join(text[a:b] for a, b in zip([0, *(m + 1 for m in marks)], [*marks, len(text)], strict=True)) if marks else text
 
 
 class Codec:
@@ -84,7 +85,10 @@ class Codec:
         self.encoding = self._cache[path]
 
     def encode(self, text: str) -> list[int]:
-        return self.encoding.encode_ordinary(text)
+        cuts = [m.end() for m in _LONG_RUN.finditer(text)]
+        if not cuts:
+            return self.encoding.encode_ordinary(text)
+        return [i for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True) for i in self.encoding.encode_ordinary(text[a:b])]
 
     def decode(self, ids: list[int]) -> str:
         return self.encoding.decode_bytes(ids).decode("utf-8", errors="replace")
@@ -141,6 +145,10 @@ def render(ids: list[int], codec: Codec) -> str:
 ENCODED = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("loss_mask", T.ArrayType(T.ByteType())), T.StructField("formatted", T.StringType())])
 
 
+def _whole(number: str | None) -> int | None:
+    return None if number is None else int(number)
+
+
 def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Token ids, loss mask and rendered string of every turn of (conv_id, turn, role, text).
 
@@ -158,9 +166,10 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 ids.append(one)
                 masks.append(loss_mask(np.array(one, dtype=np.int64)))
                 strings.append(render(one, codec))
-            yield pd.DataFrame({"conv_id": f["conv_id"], "turn": f["turn"], "role": f["role"], "token_ids": ids, "loss_mask": masks, "formatted": strings})
+            yield pd.DataFrame({"conv_id": f["conv_text"].map(_whole).astype("Int64"), "turn": f["turn_text"].map(_whole).astype("Int64"), "role": f["role"], "token_ids": ids, "loss_mask": masks, "formatted": strings})
 
-    plain = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # numbers travel as text: a batch with a null would make them floating
+    plain = turns.select(F.col("conv_id").cast("long").cast("string").alias("conv_text"), F.col("turn").cast("long").cast("string").alias("turn_text"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     return plain.mapInPandas(encode, ENCODED)
 
 
@@ -193,7 +202,7 @@ def digest(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 state["tokens"] += len(ids)
                 state["on"] += int(np.sum(mask))
             if rows:
-                yield pd.DataFrame(rows, columns=DIGEST.names)
+                yield pd.DataFrame(rows, columns=DIGEST.names).astype({"conv_id": "Int64"})
                 rows = []
         close()
         if rows:

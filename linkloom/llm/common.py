@@ -177,6 +177,18 @@ def opened(shared):
     return pickle.loads(head, buffers=buffers)
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores added as keep it apart from the columns (case counts for nothing in Spark)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

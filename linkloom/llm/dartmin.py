@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SpanHash, U64, Words, byte_values, chunks, cut, mix64, signed, table
+from .common import SpanHash, U64, Words, byte_values, chunks, cut, free_names, mix64, signed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -303,9 +303,13 @@ def op9_minhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_near_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of docs whose id is the least of their class; of rows that share an id, one stays. Rows without an id stay."""
+    """The rows of docs whose id is the least of their class; of rows that share id and words, one stays.
+
+    Rows without an id stay.  Different texts that share an id are all kept, even if they are alike.
+    """
+    row, words = free_names(docs.columns, "row_", "words_")
     keep = classes(docs).filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    one = kept.withColumn("row_", F.row_number().over(first)).filter("row_ = 1").drop("row_")
+    kept = docs.join(keep, "doc_id", "left_semi").withColumn(words, F.md5(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")).cast("binary")))
+    first = Window.partitionBy("doc_id", words).orderBy(F.xxhash64("text"))
+    one = kept.withColumn(row, F.row_number().over(first)).filter(F.col(row) == 1).drop(row, words)
     return one.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)

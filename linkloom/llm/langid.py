@@ -34,28 +34,30 @@ CHUNK = 2_000_000
 SCRIPTS = 12
 
 
-def _script_table() -> np.ndarray:
-    """Script of a character from its first two UTF-8 bytes; 0 is Latin and anything common, higher ones win in a word."""
-    t = np.zeros((256, 256), dtype=np.uint8)
-    # (first byte from, to, second byte from, to, script): ranges of the Unicode code charts
-    for a, b, c, d, s in (
-        (0xCD, 0xCF, 0x80, 0xBF, 1),  # Greek
-        (0xD0, 0xD4, 0x80, 0xBF, 2),  # Cyrillic
-        (0xD5, 0xD6, 0x80, 0xBF, 3),  # Armenian
-        (0xD7, 0xD7, 0x80, 0xBF, 4),  # Hebrew
-        (0xD8, 0xDB, 0x80, 0xBF, 5),  # Arabic
-        (0xE0, 0xE0, 0xA4, 0xA5, 6),  # Devanagari
-        (0xE0, 0xE0, 0xA6, 0xB7, 7),  # other scripts of India
-        (0xE0, 0xE0, 0xB8, 0xBB, 8),  # Thai, Lao
-        (0xE3, 0xE3, 0x81, 0x83, 9),  # kana
-        (0xE4, 0xE9, 0x80, 0xBF, 10),  # Han
-        (0xEA, 0xED, 0xB0, 0xBF, 11),  # Hangul
-    ):
-        t[a : b + 1, c : d + 1] = s
-    return t
-
-
-SCRIPT = _script_table()
+#: (first code point, last, script): ranges of the Unicode code charts; 0 is Latin and anything common, higher ones win in a word.
+RANGES = [
+    (0x370, 0x3FF, 1), (0x400, 0x52F, 2), (0x530, 0x58F, 3), (0x590, 0x5FF, 4), (0x600, 0x6FF, 5), (0x750, 0x77F, 5), (0x8A0, 0x8FF, 5), (0x900, 0x97F, 6), (0x980, 0xDFF, 7), (0xE00, 0xEFF, 8), (0x1100, 0x11FF, 11),
+    (0x1F00, 0x1FFF, 1), (0x2DE0, 0x2DFF, 2), (0x3040, 0x30FF, 9), (0x3130, 0x318F, 11), (0x31F0, 0x31FF, 9), (0x3400, 0x4DBF, 10), (0x4E00, 0x9FFF, 10), (0xA640, 0xA69F, 2), (0xA960, 0xA97F, 11), (0xAC00, 0xD7FF, 11),
+    (0xF900, 0xFAFF, 10), (0xFB1D, 0xFB4F, 4), (0xFB50, 0xFDFF, 5), (0xFE70, 0xFEFF, 5), (0xFF66, 0xFF9D, 9), (0x1B000, 0x1B16F, 9), (0x20000, 0x323AF, 10),
+]
+_FIRST, _LAST, _OF = (np.array(x) for x in zip(*RANGES, strict=True))
+
+
+def script_bytes(data: np.ndarray) -> np.ndarray:
+    """The script of each character, at its first byte; 0 at all other bytes."""
+    out = np.zeros(len(data), dtype=np.uint8)
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        padded = np.concatenate((data, np.zeros(3, dtype=np.uint8))).astype(np.int64)
+        b = [padded[lead + k] for k in range(4)]
+        low = [x & 0x3F for x in b]
+        two, three, four = (b[0] & 0x1F) << 6 | low[1], (b[0] & 0x0F) << 12 | low[1] << 6 | low[2], (b[0] & 0x07) << 18 | low[1] << 12 | low[2] << 6 | low[3]
+        point = np.where(b[0] < 0xE0, two, np.where(b[0] < 0xF0, three, four))
+        at = np.searchsorted(_FIRST, point, side="right") - 1
+        out[lead] = np.where((at >= 0) & (point <= _LAST[at]), _OF[at], 0)
+    return out
+
+
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
@@ -71,9 +73,8 @@ class Features:
         tail = spans(np.maximum(w.start, w.end - AFFIX_BYTES), w.end)
         self.slots = [(h >> U64(64 - b)).astype(np.int64) for h, b in zip((whole, head, tail), BITS, strict=True)]
         if len(w.start):
-            following = np.append(data[1:], np.uint8(0))
             # words hold no white space, so a reduction from one start to the next sees the word's bytes and spaces only
-            self.script = np.maximum.reduceat(SCRIPT[data, following], w.start)
+            self.script = np.maximum.reduceat(script_bytes(data), w.start)
             self.letters = np.logical_or.reduceat(_LETTER[data], w.start)
         else:
             self.script, self.letters = np.zeros(0, dtype=np.uint8), np.zeros(0, dtype=bool)
@@ -169,12 +170,10 @@ def train(labelled: DataFrame) -> LanguageModel:
     return LanguageModel(languages, scores, allowed)
 
 
-IDENTIFIED = "doc_id long, held_out boolean, lang_pred string, score double, spans array<struct<start:int,stop:int,lang:string>>"
+IDENTIFIED = "doc_id long, held_out boolean, lang_pred string, score double, spans string"
 
 
 def _identify(shared):
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("lang", pa.string())]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: LanguageModel = opened(shared)
         for batch in batches:
@@ -182,7 +181,7 @@ def _identify(shared):
             for row, stop, data, offsets in chunks(batch, size=CHUNK):
                 n = stop - row
                 if not model.languages:
-                    pred, score, spans = pred + ["und"] * n, score + [0.0] * n, spans + [[]] * n
+                    pred, score, spans = pred + ["und"] * n, score + [0.0] * n, spans + [""] * n
                     continue
                 f = Features(data, offsets)
                 first = f.words.first
@@ -200,13 +199,14 @@ def _identify(shared):
                 cut = np.searchsorted(begins, first)
                 for i in range(n):
                     if whole[i] <= 0 or not _has_letter(data[offsets[i] : offsets[i + 1]], f.letters[first[i] : first[i + 1]]):
-                        pred.append("und"), score.append(0.0), spans.append([])
+                        pred.append("und"), score.append(0.0), spans.append("")
                         continue
                     pred.append(model.languages[best[i]])
                     score.append(float(mass[i, best[i]] / whole[i]))
                     b, e = begins[cut[i] : cut[i + 1]], ends[cut[i] : cut[i + 1]]
-                    spans.append([{"start": int(f.words.start[x] - offsets[i]), "stop": int(f.words.end[y] - offsets[i]), "lang": model.languages[labels[x]]} for x, y in zip(b, e, strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(pred, type=pa.string()), pa.array(score, type=pa.float64()), pa.array(spans, type=kind)], ["doc_id", "held_out", "lang_pred", "score", "spans"])
+                    begin, end = (f.words.start[b] - offsets[i]).tolist(), (f.words.end[e] - offsets[i]).tolist()
+                    spans.append(" ".join(f"{x}-{y}:{model.languages[k]}" for x, y, k in zip(begin, end, labels[b].tolist(), strict=True)))
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(pred, type=pa.string()), pa.array(score, type=pa.float64()), pa.array(spans, type=pa.string())], ["doc_id", "held_out", "lang_pred", "score", "spans"])
 
     return run
 
@@ -223,7 +223,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out=None) -> DataFrame:
 
     Null texts and texts without a letter are 'und' with score 0.  score is the
     share of the text's letter-bearing bytes that carry the predicted label; spans are byte
-    ranges.  Ties go to the language that sorts first; repeated rows get equal results.
+    ranges with their labels, as "start-stop:lang" with a space between.  Ties go to the language that sorts first; repeated rows get equal results.
     """
     shared = share(docs.sparkSession, model)  # fixed size for a given set of languages
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
@@ -234,4 +234,4 @@ def op10_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = crc_mod("doc_id", 4)
     model = train(docs.filter((fold != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang"))
-    return identify(docs, model, fold == 2).drop("spans")
+    return identify(docs, model, fold == 2)

@@ -19,10 +19,11 @@ documents, so a group with a third of all rows is dealt to many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,28 +70,28 @@ def newton_rates(groups: DataFrame, steps: int = 40) -> DataFrame:
     return groups.withColumn("rate", F.when((F.col("target") > 0) & (F.col("source_size") > 0), F.least(F.exp(lam), F.lit(MAX_RATE))).otherwise(0.0))
 
 
-ROUNDED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("copies", T.LongType())])
-
-
-def _round_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by block, then by falling size; the carried error starts anew with each block."""
+def _round_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block, then by falling size; the carried error starts anew with each block. Columns `block` and `rate` become `copies`."""
     block, carry = None, 0.0
-    for f in frames:
-        copies = np.zeros(len(f), dtype=np.int64)
-        for i, (b, size, rate) in enumerate(zip(f["block"].to_numpy(), f["size"].to_numpy(), f["rate"].to_numpy(), strict=True)):
+    for batch in batches:
+        names = batch.schema.names
+        blocks, sizes, rates = (batch.column(names.index(c)).to_pylist() for c in ("block", "size", "rate"))
+        copies = np.zeros(batch.num_rows, dtype=np.int64)
+        for i, (b, size, rate) in enumerate(zip(blocks, sizes, rates, strict=True)):
             if b != block:
                 block, carry = b, 0.0
             if size <= 0:
                 continue
             want = rate * size + carry
-            low, high = int(np.floor(rate + 1e-9)), int(min(MAX_RATE, np.ceil(rate - 1e-9)))
+            low, high = math.floor(rate + 1e-9), min(int(MAX_RATE), math.ceil(rate - 1e-9))
             copies[i] = min(high, max(low, round(want / size)))
             carry = want - copies[i] * size
-        yield pd.DataFrame({"doc_id": f["doc_id"], "size": f["size"], "source_size": f["source_size"], "target": f["target"], "copies": copies})
+        kept = [c for c in names if c not in ("block", "rate")]
+        yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in kept], pa.array(copies)], [*kept, "copies"])
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken for every row of docs(doc_id, text, source).
+def mix(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target, copies, taken for every row of docs(doc_id, text, source); source and text too if wanted.
 
     Null or white-space texts have size 0 and are taken 0 times over.  A null
     source is a source of its own, last in order.  Repeated rows count as often
@@ -98,7 +99,7 @@ def mix(docs: DataFrame) -> DataFrame:
     order.  An empty table gives an empty result.  Equal input gives equal output: blocks and the
     order within them depend on sizes and ids alone.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", *["text"] * with_text, word_count(F.col("text")).alias("size"))
     groups = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows_"))
     # a few rows per source: ordering them is a small job
     groups = groups.withColumn("weight", ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1).cast("double"))
@@ -106,8 +107,10 @@ def mix(docs: DataFrame) -> DataFrame:
     groups = groups.withColumn("blocks_", F.ceil(F.col("rows_") / F.lit(BLOCK_ROWS)))
     joined = sized.join(groups.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_")), "left")
     block = F.xxhash64(F.coalesce(F.col("source"), F.lit("\u0000null")), F.pmod(F.xxhash64("doc_id", "size"), F.col("blocks_")))
-    dealt = joined.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "rate", block.alias("block")).repartition("block").sortWithinPartitions("block", F.desc("size"), "doc_id")
-    return dealt.mapInPandas(_round_blocks, ROUNDED).withColumn("taken", F.col("size") * F.col("copies"))
+    columns = [*["source", "text"] * with_text, "doc_id", "size", "source_size", F.col("target").cast("double").alias("target")]
+    dealt = joined.select(*columns, "rate", block.alias("block")).repartition("block").sortWithinPartitions("block", F.desc("size"), "doc_id", *["text"] * with_text)
+    schema = T.StructType([*dealt.drop("rate", "block").schema.fields, T.StructField("copies", T.LongType())])
+    return dealt.mapInArrow(_round_blocks, schema).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -117,11 +120,7 @@ def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, text, size, copies, taken of the documents that the mix takes at least once.
 
-    The copies are kept as a count, not written out: a reader repeats a row `copies` times.  The text is joined back by
-    id and size, so rows that share an id but not a text keep apart.
+    The copies are kept as a count, not written out: a reader repeats a row `copies` times.  Texts travel with their
+    rows, so repeated rows and ids get what the mix gives each of them.  Other columns of docs are left out.
     """
-    keyed = docs.withColumn("size", word_count(F.col("text"))).withColumn("row_key_", F.xxhash64("doc_id", "source", F.coalesce("text", F.lit(""))))
-    taken = mix(keyed.drop("doc_id").withColumnRenamed("row_key_", "doc_id").select("doc_id", "text", "source")).filter("copies > 0")
-    # rows that are alike in everything share their copies evenly
-    shares = taken.groupBy(F.col("doc_id").alias("row_key_")).agg(F.max("copies").alias("copies"), F.max("taken").alias("taken"))
-    return keyed.join(shares, "row_key_").select("doc_id", "source", "text", "size", "copies", "taken")
+    return mix(docs.select("doc_id", "source", "text"), with_text=True).filter("copies > 0").select("doc_id", "source", "text", "size", "copies", "taken")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, mix64, signed, sliding_min, table
+from .common import SpanHash, U64, Words, byte_values, chunks, free_names, mix64, signed, sliding_min, table
 
 WINDOW = 50
 ANCHOR = 12
@@ -275,11 +275,12 @@ def stage_substring_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     The other columns travel with the text, so repeated and missing ids do no harm.
     """
     rest = [c for c in docs.columns if c not in ("text", "doc_id")]
-    carried = F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias("id_"), F.col("text").isNull().alias("no_text_")).alias("rest_")
+    own_id, no_text = free_names(rest, "id_", "no_text_")
+    carried = F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias(own_id), F.col("text").isNull().alias(no_text)).alias("rest_")
     listed = _recurring(_identified(docs, carried), WINDOW, ANCHOR).select("text", "doc_id", "plain", "single", "rest_")
     kind = docs.select(carried).schema["rest_"].dataType.simpleString()
     done = listed.mapInArrow(_locate(WINDOW, ANCHOR, _kept_text, carry=4), f"doc_id long, n_words long, n_removed long, kept binary, rest_ {kind}")
     done = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    text = F.when(~F.col("rest_.no_text_"), F.col("kept").cast("string"))
-    made = {"text": text, "doc_id": F.col("rest_.id_"), "n_chars": F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest_.n_chars")) if "n_chars" in rest else None}
+    text = F.when(~F.col(f"rest_.{no_text}"), F.col("kept").cast("string"))
+    made = {"text": text, "doc_id": F.col(f"rest_.{own_id}"), "n_chars": F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest_.n_chars")) if "n_chars" in rest else None}
     return done.select(*[(made[c] if made.get(c) is not None else F.col(f"rest_.`{c}`")).alias(c) for c in docs.columns])

@@ -1,13 +1,15 @@
 """URL filtering by host rules and a character language-model ratio.
 
 Two character models, one of accepted and one of rejected URLs, give the log
-likelihood of "host + path" under each.  Both are variable-order Markov models: the
+likelihood of host and path under each.  Both are variable-order Markov models: the
 estimate of an order is smoothed with a fixed weight of the next lower one, so a
 context that was never seen falls back to its longest known suffix.  The
 difference, divided by the length, is compared with a threshold calibrated on
 URLs that were held out of the counts.
 
-The labelled URLs are those that a rule decides.  Counts are gathered over all
+The labelled URLs are those that a rule decides.  What a rule can look at is taken out of every URL before it is
+counted or judged (the last two labels of the host and the first segment of the path, for all URLs alike),
+so the models learn from the rest of the URL and not the rules themselves.  Counts are gathered over all
 of them: partitions add up in tables of hashed contexts whose size is fixed, so
 what reaches the driver and what is broadcast never grows with the input.
 """
@@ -28,6 +30,8 @@ from .common import U64, mix64, opened, share, table, text_buffer
 
 #: (host, path prefix, verdict): fixed values of the contract.
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+#: What rules are written about: the last labels of a host and the first segments of a path. The models do not see them.
+RULE_LABELS, RULE_SEGMENTS = 2, 1
 ORDER = 5
 BITS = 16
 SLOTS = 1 << BITS
@@ -55,6 +59,12 @@ def match_rules(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) ->
     return pages.withColumn("rule", rule).withColumn("rule_verdict", verdict)
 
 
+def beyond_rules(host: Column, path: Column, labels: int = RULE_LABELS, segments: int = RULE_SEGMENTS) -> Column:
+    """What stands before the last labels of a host, and the path after its first segments: alike for all URLs, whether a rule fits them or not."""
+    front = F.regexp_extract(host, rf"(?s)^(.*?)[^.]*(?:\.[^.]*){{0,{labels - 1}}}$", 1)
+    return F.concat(front, F.regexp_replace(path, rf"^(/[^/]+(?=/)){{0,{segments}}}", ""))
+
+
 def _context_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Next symbols, and for each order the hash of the context before it; contexts stop at the start of a URL."""
     doc_start = np.repeat(offsets[:-1], np.diff(offsets))
@@ -169,7 +179,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFr
     has the ratio 0.  Repeated rows are judged alike, each on its own.  An empty table gives an empty result.
     """
     host, path = host_path(F.col("url"))
-    parts = match_rules(pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path")), rules).withColumn("address", F.concat("host", "path"))
+    parts = match_rules(pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path")), rules).withColumn("address", beyond_rules(F.col("host"), F.col("path")))
     model = train(parts.filter(F.col("rule_verdict").isNotNull()).select("page_id", "address", "rule_verdict"))
     shared = share(parts.sparkSession, model)  # fixed size: classes x orders x slots
 
