@@ -145,8 +145,13 @@ def render(ids: list[int], codec: Codec) -> str:
 ENCODED = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()), T.StructField("role", T.StringType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("loss_mask", T.ArrayType(T.ByteType())), T.StructField("formatted", T.StringType())])
 
 
-def _whole(number: str | None) -> int | None:
-    return None if number is None else int(number)
+def _whole(numbers) -> pd.api.extensions.ExtensionArray:
+    """Whole numbers, or their digits, where some may be missing."""
+    return pd.array([None if x is None else int(x) for x in numbers], dtype="Int64")
+
+
+def _digests(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=DIGEST.names).assign(conv_id=_whole([r[0] for r in rows]))
 
 
 def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -166,7 +171,7 @@ def format_turns(turns: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 ids.append(one)
                 masks.append(loss_mask(np.array(one, dtype=np.int64)))
                 strings.append(render(one, codec))
-            yield pd.DataFrame({"conv_id": f["conv_text"].map(_whole).astype("Int64"), "turn": f["turn_text"].map(_whole).astype("Int64"), "role": f["role"], "token_ids": ids, "loss_mask": masks, "formatted": strings})
+            yield pd.DataFrame({"conv_id": _whole(f["conv_text"]), "turn": _whole(f["turn_text"]), "role": f["role"], "token_ids": ids, "loss_mask": masks, "formatted": strings})
 
     # numbers travel as text: a batch with a null would make them floating
     plain = turns.select(F.col("conv_id").cast("long").cast("string").alias("conv_text"), F.col("turn").cast("long").cast("string").alias("turn_text"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -202,11 +207,11 @@ def digest(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 state["tokens"] += len(ids)
                 state["on"] += int(np.sum(mask))
             if rows:
-                yield pd.DataFrame(rows, columns=DIGEST.names).astype({"conv_id": "Int64"})
+                yield _digests(rows)
                 rows = []
         close()
         if rows:
-            yield pd.DataFrame(rows, columns=DIGEST.names).astype({"conv_id": "Int64"})
+            yield _digests(rows)
 
     # ids travel as text so that a null id stays apart from every number
     keyed = encoded.withColumn("conv_json", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))

@@ -6,6 +6,8 @@ cost per word is a few array passes instead of interpreted Python.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 import pickle
 import tempfile
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text handled at once by a kernel; bounds the memory of its temporaries.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 1 << 18
 #: The words of the contracts: runs of anything but ASCII white space.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -149,6 +151,18 @@ def chunks(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES)
         row = stop
 
 
+def lean(run):
+    """`run` over Arrow batches, after which a worker gives freed memory back: workers are kept for later tasks, and their heaps add up on an executor."""
+
+    def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return give_back
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of `width` values, by doubling."""
     if len(values) < width:

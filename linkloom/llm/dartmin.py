@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SpanHash, U64, Words, byte_values, chunks, cut, free_names, mix64, signed, table
+from .common import SpanHash, U64, Words, byte_values, chunks, cut, free_names, lean, mix64, signed, table
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -42,9 +42,10 @@ BAND_ROWS = 5
 COORDINATES = BANDS * BAND_ROWS
 #: Share of agreeing coordinates below which a pair is not looked at further; four standard deviations under SIMILARITY.
 SKETCH_LEAST = 0.65
-CHUNK = 1_000_000
 #: Up to so many pairs their ids are sent to the texts, not the texts to the ids.
-BROADCAST_PAIRS = 200_000
+BROADCAST_PAIRS = 100_000
+#: Likewise for rows with a signature.
+BROADCAST_SIGNATURES = 10_000
 #: A leader's bucket is dealt to so many tasks.
 SALTS = 16
 
@@ -119,11 +120,10 @@ def signatures(n_texts: int, doc: np.ndarray, shingle: np.ndarray) -> np.ndarray
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, stop, data, offsets in chunks(batch, size=CHUNK):
+        for row, stop, data, offsets in chunks(batch):
             n = stop - row
             doc, shingle, w = shingles(data, offsets)
             sig = signatures(n, doc, shingle)
-            has = np.diff(w.first) > 0
             whole = [SpanHash(SpanHash(byte_values(data, i), i)(w.start, w.end), 1 - i)(w.first[:-1], w.first[1:]) for i in (0, 1)]
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
             cube = sig.reshape(n, BANDS, BAND_ROWS)
@@ -133,10 +133,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(signed(key.ravel())))
             brief = [x.tobytes() for x in (sig >> U64(48)).astype(np.uint16)]
             ids = batch.column(1).slice(row, n)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(has), pa.array(signed(whole[0])), pa.array(signed(whole[1])), keys, pa.array(brief, type=pa.binary())], ["doc_id", "has_words", "t1", "t2", "bands", "brief"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(w.first)), pa.array(signed(whole[0])), pa.array(signed(whole[1])), keys, pa.array(brief, type=pa.binary())], ["doc_id", "words", "t1", "t2", "bands", "brief"])
 
 
-SKETCH = "doc_id long, has_words boolean, t1 long, t2 long, bands array<long>, brief binary"
+SKETCH = "doc_id long, words long, t1 long, t2 long, bands array<long>, brief binary"
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +145,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         lead, kind, ids = batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        for row, stop, data, offsets in chunks(batch, size=CHUNK):
+        for row, stop, data, offsets in chunks(batch):
             d, s, c = cells(*shingles(data, offsets)[:2])
             at = np.searchsorted(d, np.arange(stop - row + 1))
             for i in range(stop - row):
@@ -170,7 +170,7 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         wanted = F.broadcast(wanted)  # at most two rows of 28 bytes a pair; beyond, the texts are shuffled by id
     rows = docs.select("doc_id", "text").join(wanted, "doc_id")
     dealt = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "kind")
-    return dealt.select("text", "leader", "kind", "doc_id").mapInArrow(_verify, "a long, b long")
+    return dealt.select("text", "leader", "kind", "doc_id").mapInArrow(lean(_verify), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -217,7 +217,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, part, piece, kind, band, doc, label = (batch.column(i).to_numpy() for i in range(1, 8))
         bands = batch.column(8).flatten().to_numpy().reshape(-1, BANDS)
         brief = batch.column(9)
-        for row, stop, data, offsets in chunks(batch, size=CHUNK):
+        for row, stop, data, offsets in chunks(batch):
             d, s, c = cells(*shingles(data, offsets)[:2])
             at = np.searchsorted(d, np.arange(stop - row + 1))
             for i in range(row, stop):
@@ -246,8 +246,8 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64())], ["a", "b"])
 
 
-#: Texts in a block of a bucket: two blocks meet in one task.
-BLOCK = 256
+#: Expected words of the texts in a block of a bucket: two blocks meet in one task, which holds the shingles of one.
+BLOCK_WORDS = 200_000
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -258,13 +258,13 @@ def classes(docs: DataFrame) -> DataFrame:
     class is its least document id.
     """
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
-    sketches = cut(plain.mapInArrow(_sketch, SKETCH))
-    known = sketches.filter(F.col("has_words") & F.col("doc_id").isNotNull())
-    texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows_"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "rows_", "t1", "t2", "s.bands", "s.brief"))
+    sketches = cut(plain.mapInArrow(lean(_sketch), SKETCH))
+    known = sketches.filter((F.col("words") > 0) & F.col("doc_id").isNotNull())
+    texts = cut(known.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows_"), F.max("words").alias("words"), F.min(F.struct("doc_id", "bands", "brief")).alias("s")).select("rep", "rows_", "t1", "t2", "words", "s.bands", "s.brief"))
     # a document id may stand for several texts if ids repeat; its pairs are then judged by every text of that id
-    banded = texts.select("rep", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).filter(F.col("n") > 1)
-    crowded = cut(banded.join(buckets, "key").select("key", "band", "rep", "leader", "n"))
+    banded = texts.select("rep", "words", F.posexplode("bands").alias("band", "key"))
+    buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n"), F.sum("words").alias("words_")).filter(F.col("n") > 1)
+    crowded = cut(banded.join(buckets, "key").select("key", "band", "rep", "leader", "n", "words_"))
     star = cut(crowded.filter(F.col("rep") != F.col("leader")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
     source = plain.filter(F.col("doc_id").isNotNull())
     edges = cut(verified(star, source))
@@ -273,19 +273,19 @@ def classes(docs: DataFrame) -> DataFrame:
     of = labels.withColumnRenamed("id", "rep")
     placed = crowded.join(of, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") < F.col("high")).select("key")
-    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).select("key", "band", "rep", "label", "n"))
+    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).select("key", "band", "rep", "label", "words_"))
     if left.limit(1).count():
         wanted = left.select("rep", "label").distinct().join(texts.select("rep", "bands", "brief"), "rep")
-        if left.count() <= BROADCAST_PAIRS:
-            wanted = F.broadcast(wanted)  # at most BROADCAST_PAIRS rows of half a kilobyte
+        if left.count() <= BROADCAST_SIGNATURES:
+            wanted = F.broadcast(wanted)  # rows of half a kilobyte
         held = source.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "label", "bands", "brief", "text")
-        blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
+        blocks = F.ceil(F.col("words_") / F.lit(BLOCK_WORDS)).cast("long")
         zero = F.lit(0).cast("long")
         split = left.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("last", blocks - 1)
         heads = split.select("key", "band", F.col("own").alias("block"), F.explode(F.sequence("own", "last")).alias("slice"), F.lit(0).alias("kind"), "rep")
         passers = split.select("key", "band", F.explode(F.sequence(zero, F.col("own"))).alias("block"), F.col("own").alias("slice"), F.lit(1).alias("kind"), "rep")
         dealt = heads.unionByName(passers).join(held, "rep").repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice", "kind")
-        links = cut(dealt.select("text", "key", "block", "slice", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(_cross, "a long, b long"))
+        links = cut(dealt.select("text", "key", "block", "slice", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(lean(_cross), "a long, b long"))
         if links.limit(1).count():
             labels = components(edges.unionByName(links))
     final = texts.select("t1", "t2", "rep", "rows_").join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("class_id", F.coalesce("label", "rep"))
@@ -293,8 +293,8 @@ def classes(docs: DataFrame) -> DataFrame:
     key = F.bitwise_not("class_id")
     size = final.groupBy("class_id").agg(F.sum("rows_").alias("n")).select(key.alias("key"), "n")
     final = final.withColumn("key", key).join(size, "key").select("t1", "t2", "class_id", "n")
-    joined = sketches.select("doc_id", "has_words", "t1", "t2").join(final, ["t1", "t2"], "left")
-    placed = F.col("has_words") & F.col("doc_id").isNotNull()
+    joined = sketches.select("doc_id", "words", "t1", "t2").join(final, ["t1", "t2"], "left")
+    placed = (F.col("words") > 0) & F.col("doc_id").isNotNull()
     return joined.select("doc_id", F.when(placed, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"), F.when(placed, F.col("n")).otherwise(F.lit(1)).cast("long").alias("n_class"))
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, mix64, opened, share, table
+from .common import SpanHash, U64, Words, byte_values, chunks, lean, mix64, opened, share, table
 
 #: Edits allowed, as a share of an item's words.
 MAX_EDITS = 0.15
@@ -276,7 +276,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 at = pa.array([r[0] for r in rows], type=pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(1).take(at), pa.array([items.ids[r[1]] for r in rows], type=pa.int64()), pa.array([r[2] for r in rows], type=pa.int32()), pa.array([len(items.words[r[1]]) for r in rows], type=pa.int32()), pa.array([r[3] for r in rows], type=pa.int32()), pa.array([r[4] for r in rows], type=pa.int32())], ["doc_id", "item_id", "edits", "item_words", "first_word", "words"])
 
-        part = plain.mapInArrow(run, MATCHES)
+        part = plain.mapInArrow(lean(run), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], MATCHES)
 
@@ -301,5 +301,5 @@ def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                         clean[row + text] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = docs.mapInArrow(lean(keep), docs.schema)
     return docs

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, opened, share, table
+from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, lean, opened, share, table
 
 #: log2 of the number of slots for whole words, beginnings and endings.
 BITS = (17, 14, 14)
@@ -30,7 +30,6 @@ SMOOTHING = 0.5
 SWITCH_PENALTY = 8.0
 #: A script belongs to a language if at least this share of the language's words is in it.
 SCRIPT_SHARE = 0.01
-CHUNK = 2_000_000
 SCRIPTS = 12
 
 
@@ -138,7 +137,7 @@ def _counter(languages: list[str]):
         total = np.zeros((int(base[-1]), n_lang), dtype=np.int64)
         for batch in batches:
             lang = np.array([place[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
-            for row, stop, data, offsets in chunks(batch, size=CHUNK):
+            for row, stop, data, offsets in chunks(batch):
                 f = Features(data, offsets)
                 of = np.repeat(lang[row:stop], np.diff(f.words.first))[f.letters]
                 for kind, slots in enumerate([*f.slots, f.script.astype(np.int64)]):
@@ -178,7 +177,7 @@ def _identify(shared):
         model: LanguageModel = opened(shared)
         for batch in batches:
             pred, score, spans = [], [], []
-            for row, stop, data, offsets in chunks(batch, size=CHUNK):
+            for row, stop, data, offsets in chunks(batch):
                 n = stop - row
                 if not model.languages:
                     pred, score, spans = pred + ["und"] * n, score + [0.0] * n, spans + [""] * n
@@ -227,7 +226,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out=None) -> DataFrame:
     """
     shared = share(docs.sparkSession, model)  # fixed size for a given set of languages
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
-    return plain.mapInArrow(_identify(shared), IDENTIFIED)
+    return plain.mapInArrow(lean(_identify(shared)), IDENTIFIED)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import WORD_RE, table
+from .common import WORD_RE, lean, table
 
 #: Expected documents in a rounding block.
 BLOCK_ROWS = 1_000
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, with_text: bool = False) -> DataFrame:
     columns = [*["source", "text"] * with_text, "doc_id", "size", "source_size", F.col("target").cast("double").alias("target")]
     dealt = joined.select(*columns, "rate", block.alias("block")).repartition("block").sortWithinPartitions("block", F.desc("size"), "doc_id", *["text"] * with_text)
     schema = T.StructType([*dealt.drop("rate", "block").schema.fields, T.StructField("copies", T.LongType())])
-    return dealt.mapInArrow(_round_blocks, schema).withColumn("taken", F.col("size") * F.col("copies"))
+    return dealt.mapInArrow(lean(_round_blocks), schema).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -34,13 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, free_names, mix64, signed, sliding_min, table
+from .common import SpanHash, U64, Words, byte_values, chunks, free_names, lean, mix64, signed, sliding_min, table
 
 WINDOW = 50
 ANCHOR = 12
 #: Stands for a missing id: nothing comes before it, and it is never searched for.
 NO_ID = -(2**63)
-CHUNK = 1_000_000
 
 
 class Passages:
@@ -84,7 +83,7 @@ def _span_rows(window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(1).to_numpy(zero_copy_only=False)
-            for row, _, data, offsets in chunks(batch, size=CHUNK):
+            for row, _, data, offsets in chunks(batch):
                 doc, key, span = Passages(data, offsets, window, anchor).spans()
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(span)), pa.array(ids[row + doc])], ["anchor", "span", "doc_id"])
 
@@ -123,7 +122,7 @@ def _window_rows(window: int, anchor: int):
         for batch in batches:
             ids = batch.column(1).to_numpy(zero_copy_only=False)
             flat, at = _lists(batch.column(2))
-            for row, stop, data, offsets in chunks(batch, size=CHUNK):
+            for row, stop, data, offsets in chunks(batch):
                 doc, key, _ = _pick(flat, at, row, stop)
                 if not len(key):
                     continue
@@ -143,8 +142,8 @@ def _locate(window: int, anchor: int, build, carry: int | None = None):
             ids = batch.column(1).to_numpy(zero_copy_only=False)
             plain, plain_at = _lists(batch.column(2))
             single, single_at = _lists(batch.column(3))
-            out = []
-            for row, stop, data, offsets in chunks(batch, size=CHUNK):
+            for row, stop, data, offsets in chunks(batch):
+                out = []
                 tiles: dict[str, int] = {}
                 doc, key, home = _pick(plain, plain_at, row, stop)
                 doc2, key2, home2 = _pick(single, single_at, row, stop)
@@ -163,7 +162,7 @@ def _locate(window: int, anchor: int, build, carry: int | None = None):
                 for i, words in enumerate(texts):
                     removed = _occurrences(automaton, words, ids[row + i], window) if automaton is not None and len(words) >= window else None
                     out.append(build(words, removed, raw[offsets[i] : offsets[i + 1]]))
-            yield _columns(batch, out, carry)
+                yield _columns(batch.slice(row, stop - row), out, carry)
 
     return run
 
@@ -237,14 +236,14 @@ def _recurring(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
     Ids are never null here and the windows are made from all columns, so both reads of the texts by id are one shuffle.
     """
-    spans = docs.filter(F.col("doc_id") != NO_ID).select("text", "doc_id").mapInArrow(_span_rows(window, anchor), "anchor long, span long, doc_id long")
+    spans = docs.filter(F.col("doc_id") != NO_ID).select("text", "doc_id").mapInArrow(lean(_span_rows(window, anchor)), "anchor long, span long, doc_id long")
     anchors = spans.groupBy("anchor").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.min("span").alias("least"), F.max("span").alias("most"))
     anchors = anchors.filter(F.col("home") < F.col("last")).select("anchor", "home", (F.col("least") != F.col("most")).alias("mixed"))
     own = spans.select("anchor", "doc_id").join(anchors, "anchor").filter(F.col("mixed") | (F.col("doc_id") > F.col("home")))
     entry = F.struct(F.col("anchor").alias("key"), F.col("home"))
     per_doc = own.groupBy("doc_id").agg(F.collect_set(F.when(~F.col("mixed"), entry)).alias("plain"), F.collect_set(F.when(F.col("mixed"), entry)).alias("mixed"))
     listed = docs.join(per_doc, "doc_id", "left").select("text", "doc_id", "mixed", "plain", *[c for c in docs.columns if c not in ("text", "doc_id")])
-    windows = listed.filter(F.size("mixed") > 0).mapInArrow(_window_rows(window, anchor), "a long, b long, doc_id long")
+    windows = listed.filter(F.size("mixed") > 0).mapInArrow(lean(_window_rows(window, anchor)), "a long, b long, doc_id long")
     homes = windows.groupBy("a", "b").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last")).filter(F.col("home") < F.col("last")).select(F.col("a").alias("a_"), F.col("b").alias("b_"), "home")
     # joined by one half of the hash alone: both sides are shuffled for the join then, and a hot window can be split
     same = (F.col("a") == F.col("a_")) & (F.col("b").bitwiseXOR(F.col("b_")) == 0) & (F.col("doc_id") > F.col("home"))
@@ -261,7 +260,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, digest: b
     neither searched nor searched for.  Rows that share an id never count against each other.
     """
     listed = _recurring(_identified(docs), window, anchor).select("text", "doc_id", "plain", "single")
-    found = listed.mapInArrow(_locate(window, anchor, _kept_digest if digest else _kept_text), "doc_id long, n_words long, n_removed long, kept binary")
+    found = listed.mapInArrow(lean(_locate(window, anchor, _kept_digest if digest else _kept_text)), "doc_id long, n_words long, n_removed long, kept binary")
     return found.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).withColumn("kept", F.col("kept").cast("string"))
 
 
@@ -279,7 +278,7 @@ def stage_substring_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     carried = F.struct(*[F.col(c).alias(c) for c in rest], F.col("doc_id").alias(own_id), F.col("text").isNull().alias(no_text)).alias("rest_")
     listed = _recurring(_identified(docs, carried), WINDOW, ANCHOR).select("text", "doc_id", "plain", "single", "rest_")
     kind = docs.select(carried).schema["rest_"].dataType.simpleString()
-    done = listed.mapInArrow(_locate(WINDOW, ANCHOR, _kept_text, carry=4), f"doc_id long, n_words long, n_removed long, kept binary, rest_ {kind}")
+    done = listed.mapInArrow(lean(_locate(WINDOW, ANCHOR, _kept_text, carry=4)), f"doc_id long, n_words long, n_removed long, kept binary, rest_ {kind}")
     done = done.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     text = F.when(~F.col(f"rest_.{no_text}"), F.col("kept").cast("string"))
     made = {"text": text, "doc_id": F.col(f"rest_.{own_id}"), "n_chars": F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest_.n_chars")) if "n_chars" in rest else None}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, opened, share, table
+from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, lean, opened, share, table
 
 #: Labelled rows of each class that the machine is fitted on, at most.
 SAMPLE_PER_CLASS = 1500
@@ -191,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = known.filter("label = 1").orderBy(*order).limit(per_class).unionByName(known.filter("label <> 1").orderBy(*order).limit(per_class))
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most 2 * per_class rows
-    rows = chosen.select("text", "doc_id", "label").mapInArrow(_term_sets, "doc_id long, label int, terms binary, value binary").toArrow()
+    rows = chosen.select("text", "doc_id", "label").mapInArrow(lean(_term_sets), "doc_id long, label int, terms binary, value binary").toArrow()
     # one text an id, in order of ids, read in place from the buffers
     _, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
     texts, values = [np.frombuffer(rows["terms"][i].as_buffer(), dtype=np.uint64) for i in first], [np.frombuffer(rows["value"][i].as_buffer(), dtype=np.float32) for i in first]
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: FactorizationMachine, held_out=None) -> DataFr
     """
     shared = share(docs.sparkSession, model)  # bounded by the terms of the sample
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
-    return plain.mapInArrow(_score(shared), SCORED)
+    return plain.mapInArrow(lean(_score(shared)), SCORED)
 
 
 def toxic_labels(spark, sf_dir: str) -> DataFrame:
@@ -246,4 +246,4 @@ def stage_toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
             s = [model.score(data, offsets, known) for _, _, data, offsets in chunks(batch, batch.schema.names[text_at])]
             yield batch.filter(pa.array(np.concatenate(s) < 0.5 if s else np.zeros(0, dtype=bool)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

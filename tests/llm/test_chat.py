@@ -55,3 +55,21 @@ def test_awkward(spark):
     assert {k: r.n_turns for k, r in got.items()} == {1: 2, None: 2, 2: 2, 3: 1}
     assert got[None].loss_chars == 1 and got[1].loss_chars == 0
     assert C.digest(C.format_turns(df.limit(0))).count() == 0
+
+
+def test_long_runs(spark):
+    """Runs that tokenisers recurse over, and many marks in one text."""
+    codec = C.Codec()
+    for text in (" " * 1_000_000, "a" * 300_000, "\n" * 50_000 + " x", "</s>" * 40_000, "[INST]\\ " * 20_000):
+        hidden = C.escape(text)
+        assert C.unescape(hidden) == text and codec.decode(codec.encode(text)) == text
+    df = spark.createDataFrame([(1, 0, "user", " " * 1_000_000), (1, 1, "assistant", "ok")], "conv_id long, turn long, role string, text string")
+    r = C.digest(C.format_turns(df)).first()
+    assert (r.n_turns, r.turns_sha256) == (2, hashlib.sha256(f"user\n{' ' * 1_000_000}\nassistant\nok\n".encode()).hexdigest())
+
+
+def test_large_ids_beside_null(spark):
+    big = 2**62 + 1
+    df = spark.createDataFrame([(big, None, "user", "x"), (None, 2**61 + 1, "user", "y"), (big, 3, "assistant", "z")], "conv_id long, turn long, role string, text string").coalesce(1)
+    assert {r.conv_id: r.n_turns for r in C.digest(C.format_turns(df)).collect()} == {big: 2, None: 1}
+    assert {r.turn for r in C.format_turns(df).collect()} == {None, 2**61 + 1, 3}

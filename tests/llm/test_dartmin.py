@@ -47,10 +47,10 @@ def test_chain_beyond_the_leader(spark):
     assert got == brute(rows) and set(got.values()) == {0}
 
 
-@pytest.mark.parametrize("block", [3, 256])
+@pytest.mark.parametrize("block", [500, 200_000])
 def test_families_around_the_limit(spark, monkeypatch, block):
     """Copies of copies at similarities around 0.8: stars leave several classes in a bucket, blocks of any size find the rest."""
-    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "BLOCK_WORDS", block)
     rng = random.Random(11)
     rows, i = [], 0
     for f in range(3):
@@ -97,4 +97,9 @@ def test_stage(spark, awkward):
     out = M.stage_near_dedup(spark, awkward, "")
     assert out.columns == awkward.columns
     ids = sorted(r.doc_id for r in out.select("doc_id").collect() if r.doc_id is not None)
-    assert ids == [1, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    assert ids == [1, 3, 4, 5, 6, 7, 7, 8, 9, 10, 11]  # two texts that share an id, and one of two equal rows
+
+
+def test_stage_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", "r", "w"), (2, "a  b c d e f", "s", "v"), (3, None, "t", "u")], "doc_id long, text string, row_ string, words_ string")
+    assert sorted(map(tuple, M.stage_near_dedup(spark, df, "").collect())) == [(1, "a b c d e f", "r", "w"), (3, None, "t", "u")]

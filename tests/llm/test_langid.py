@@ -40,7 +40,7 @@ def test_spans_and_scripts(spark):
     mixed = f"{en} {en} {ru} {ru}"
     r = L.identify(spark.createDataFrame([(1, mixed), (2, "слово"), (3, None), (4, "12 … 3"), (5, "")], "doc_id long, text string"), model).collect()
     by = {x.doc_id: x for x in r}
-    assert [s.lang for s in by[1].spans] == ["en", "ru"] and by[1].spans[0].stop == len(f"{en} {en}")
+    assert by[1].spans == f"0-{len(f'{en} {en}')}:en {len(f'{en} {en}') + 1}-{len(mixed.encode())}:ru"
     assert by[2].lang_pred == "ru" and {by[i].lang_pred for i in (3, 4, 5)} == {"und"}
 
 
@@ -52,3 +52,28 @@ def test_awkward(awkward, empty):
     none = L.train(known.limit(0))
     assert {r.lang_pred for r in L.identify(awkward, none).collect()} == {"und"}
     assert L.identify(empty, none).count() == 0
+
+
+def test_scripts_by_code_point():
+    """Every script's first and last letters, whatever bytes they have; marks and Latin letters are common."""
+    for first, last, script in L.RANGES:
+        text = chr(first) + "a" + chr(last)
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        got = L.script_bytes(data)
+        assert [got[i] for i in np.flatnonzero((data < 128) | (data >= 192))] == [script, 0, script]
+    for words, script in (("한국 나라 마음 서울 사람 말이", 11), ("日本 中文", 10), ("ひらがな カタカナ", 9), ("e\u0301 \u036f é ß œ", 0), ("ελληνικά", 1), ("नमस्ते", 6)):
+        data = np.frombuffer(words.encode(), dtype=np.uint8)
+        assert set(L.Features(data, np.array([0, len(data)])).script.tolist()) == {script}
+
+
+def test_word_scores_against_sums():
+    """A word's score is the sum of the logs of its three smoothed shares."""
+    rng = np.random.default_rng(1)
+    scores = [rng.normal(size=(1 << b, 2)).astype(np.float32) for b in L.BITS]
+    model = L.LanguageModel(["a", "b"], scores, np.array([[True, True]] * L.SCRIPTS))
+    data = np.frombuffer("Some words, 12 and more".encode(), dtype=np.uint8)
+    f = L.Features(data, np.array([0, len(data)]))
+    got = model.word_scores(f)
+    for i, word in enumerate("Some words, 12 and more".split()):
+        want = sum(scores[k][f.slots[k][i]] for k in range(3)) if any(c.isalpha() for c in word) else 0
+        assert np.allclose(got[i], want)

@@ -49,3 +49,13 @@ def test_awkward(spark, awkward, empty):
     assert M.mix(empty).count() == 0
     out = M.stage_mix(spark, awkward, "")
     assert out.columns == ["doc_id", "source", "text", "size", "copies", "taken"] and out.filter("copies < 1 or taken <> size * copies").count() == 0
+
+
+def test_stage_gives_repeated_rows_what_the_mix_gives_them(spark):
+    rows = [(i % 3, f"w{i % 3} x y", "a", "c") for i in range(30)] + [(100 + i, "u v", "b", "d") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies string")
+    per = lambda x: {r.source: r.n for r in x.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    out = M.stage_mix(spark, df, "")
+    assert per(out) == {k: n for k, n in per(M.mix(df).join(df.select("doc_id", "source").distinct(), "doc_id")).items() if n}
+    target = {r.source: r.target for r in M.mix(df).join(df.select("doc_id", "source").distinct(), "doc_id").select("source", "target").distinct().collect()}
+    assert all(abs(n - target[k]) <= 3 for k, n in per(out).items())

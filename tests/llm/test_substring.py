@@ -62,3 +62,8 @@ def test_stage_keeps_columns(spark, awkward, empty):
     assert out.filter("text is null").count() == 1
     assert out.filter("doc_id = 2").count() == 0  # lost all its words
     assert S.stage_substring_dedup(spark, empty, "").count() == 0
+
+
+def test_stage_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c", "x", "y", 5), (None, None, "z", "w", None)], "doc_id long, text string, id_ string, no_text_ string, n_chars long")
+    assert sorted(map(tuple, S.stage_substring_dedup(spark, df, "").collect()), key=str) == [(1, "a b c", "x", "y", 5), (None, None, "z", "w", None)]

@@ -1,4 +1,10 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import urlfilter as U
 
@@ -51,3 +57,39 @@ def test_model_separates(spark):
     new = ["http://site999.org/article/4", "http://casino999.org/win-7"]
     got = {r.page_id: r.verdict for r in U.judge(spark.createDataFrame(list(enumerate(good + bad + new)), "page_id int, url string")).collect()}
     assert got[600] == "allow" and got[601] == "block"
+
+
+def test_models_do_not_see_what_rules_see(spark):
+    rows = [("a.b.example.com", "/en/x/y", "a.b./x/y"), ("example.com", "/en/", "/"), ("com", "/en", "/en"), ("", "", ""), ("x.net", "", ""), ("m.x.net", "/fr/1", "m./1")]
+    df = spark.createDataFrame(rows, "host string, path string, want string")
+    for r in df.withColumn("got", U.beyond_rules(F.col("host"), F.col("path"))).collect():
+        assert r.got == r.want, r
+
+
+def test_likelihood_against_a_plain_loop():
+    """Variable-order estimates by dictionaries of contexts, on few enough URLs that no two share a slot."""
+    good, bad = ["abcab/1", "abc/2", "bca"], ["xyz", "xaxa/9"]
+    frame = pd.DataFrame({"address": good + bad, "rule_verdict": ["allow"] * len(good) + ["block"] * len(bad)})
+    flat = np.zeros(4 * (U.ORDER + 1) * U.SLOTS, dtype=np.float32)
+    for part in U._count(iter([frame])):
+        flat[part["key"]] += part["n"]
+    half = len(flat) // 2
+    model = U.UrlModel(flat[:half].reshape(2, U.ORDER + 1, U.SLOTS), flat[half:].reshape(2, U.ORDER + 1, U.SLOTS), 0.0)
+    for which, texts in enumerate((good, bad)):
+        context, pair = Counter(), Counter()
+        for t in texts:
+            for i, c in enumerate(t):
+                for order in range(U.ORDER + 1):
+                    key = (order, ("\0" * U.ORDER + t[:i])[-order:] if order else "")
+                    context[key] += 1
+                    pair[key, c] += 1
+        for t in ("abcab", "xyx/1", "q"):
+            total = 0.0
+            for i, c in enumerate(t):
+                p = 1 / 256
+                for order in range(U.ORDER + 1):
+                    key = (order, ("\0" * U.ORDER + t[:i])[-order:] if order else "")
+                    p = (pair[key, c] + U.LOWER_WEIGHT * p) / (context[key] + U.LOWER_WEIGHT)
+                total += math.log(p)
+            data = np.frombuffer(t.encode(), dtype=np.uint8)
+            assert model.log_likelihood(data, np.array([0, len(data)]), which)[0] == pytest.approx(total, rel=1e-5)
