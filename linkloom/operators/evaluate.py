@@ -103,17 +103,14 @@ def sampled_negatives(df: DataFrame, hard: int, random: int) -> DataFrame:
     return kept.unionByName(drawn.select("s1_id", "cand_id", "label", (F.col("n_rest") / F.least(F.col("n_rest"), F.lit(random))).alias("weight")))
 
 
-def md5_number(c: Column) -> Column:
-    return F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
-
-
 def crc_bucket(c: Column, n: int = 100) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % n
 
 
-def hash_buckets(ids: DataFrame) -> DataFrame:
-    half = md5_number(F.concat(F.lit("half:"), F.col("s1_id").cast("string"))) % 2
-    return ids.select("s1_id", (md5_number(F.col("s1_id")) % 100).alias("bucket"), half.alias("half"), (md5_number(F.col("s1_id")) % 3).alias("fold"))
+def hash_buckets(ids: DataFrame, folds: int = 3) -> DataFrame:
+    """bucket (of 100), half (by another hash) and fold (bucket modulo the folds) of each id."""
+    half = crc_bucket(F.concat(F.lit("half:"), F.col("s1_id").cast("string")), 2)
+    return ids.select("s1_id", crc_bucket(F.col("s1_id")).alias("bucket"), half.alias("half"), (crc_bucket(F.col("s1_id")) % folds).alias("fold"))
 
 
 def stratified_split(df: DataFrame, stratum: str, share: float) -> DataFrame:

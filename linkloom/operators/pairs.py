@@ -37,6 +37,14 @@ def same_key(rec: DataFrame, column: str) -> DataFrame:
     return _by_key(*_keyed(rec, column))
 
 
+def key_pairs(rec: DataFrame, key) -> DataFrame:
+    """(s1_id, cand_id): pairs of one country with an equal key; empty and missing keys meet nothing."""
+    keyed = rec.select("country", "source", "entity_id", key.alias("key")).filter(F.coalesce("key", F.lit("")) != "")
+    a = keyed.filter("source = 1").select("country", "key", F.col("entity_id").alias("s1_id"))
+    b = keyed.filter("source > 1").select("country", "key", F.col("entity_id").alias("cand_id"))
+    return _by_key(a, b).select("s1_id", "cand_id")
+
+
 def not_same_key(pairs: DataFrame, rec: DataFrame, column: str) -> DataFrame:
     """Those of pairs(s1_id, cand_id) that same_key does not have; only the given pairs are looked at."""
     a, b = _keyed(rec, column)

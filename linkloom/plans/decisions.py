@@ -149,15 +149,6 @@ def _(spark, d):
     return scored.join(unsure, "s1_id", "left").groupBy("segment").agg(F.round(F.avg("npred"), 6).alias("matches_per_s1"), F.round(F.avg((F.col("npred") == 0).cast("double")), 6).alias("share_empty"), F.round(F.avg("uncertain"), 6).alias("uncertain"))
 
 
-@query("error_categories", f"""{P}, e as (select *, case when p >= 0.5 then 'fp' else 'fn' end as kind, case when grp = 1 and p >= 0.8 then 'sure_open' when grp = 1 then 'open' when p < 0.2 then 'far' else 'near' end as category from pairs where (p >= 0.5 and label = 0) or (p < 0.5 and label = 1))
-select kind, category, count(*) as n, round(count(*) / sum(count(*)) over (partition by kind), 6) as share from e group by 1, 2""")
-def _(spark, d):
-    df = pairs(spark, d).filter("(p >= 0.5 and label = 0) or (p < 0.5 and label = 1)")
-    kind = F.when(F.col("p") >= 0.5, "fp").otherwise("fn")
-    category = F.when((F.col("grp") == 1) & (F.col("p") >= 0.8), "sure_open").when(F.col("grp") == 1, "open").when(F.col("p") < 0.2, "far").otherwise("near")
-    return E.error_categories(df.withColumn("kind", kind).withColumn("category", category))
-
-
 @query("error_examples", f"{P}, e as (select s1_id, cand_id, p, label, row_number() over (partition by label, grp order by abs(p - label) desc, s1_id, cand_id) as r, grp from pairs) select label, grp, s1_id, cand_id, p from e where r <= 15")
 def _(spark, d):
     order = Window.partitionBy("label", "grp").orderBy(F.desc(F.abs(F.col("p") - F.col("label"))), "s1_id", "cand_id")
@@ -185,7 +176,8 @@ def _(spark, d):
     return E.rivals(pairs(spark, d), "p")
 
 
-BUCKET = "cast(('0x' || substr(md5(cast({0} as varchar)), 1, 8)) as bigint)"
+#: CRC-32 of a decimal or ASCII text, byte by byte and bit by bit.
+BUCKET = """xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast({0} as varchar), ''), lambda ch: cast(ascii(ch) as bigint))), lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, cast(3988292384 as bigint)) else x >> 1 end)), cast(4294967295 as bigint))"""
 
 
 @query("negative_sampling_weights", f"""{P}, r as (select *, row_number() over (partition by s1_id order by p desc, cand_id) - 1 as rank from pairs),
@@ -196,7 +188,7 @@ def _(spark, d):
     return E.sampled_negatives(pairs(spark, d), hard=2, random=2).select("s1_id", "cand_id", "label", F.round("weight", 6).alias("weight"))
 
 
-@query("hash_halves_folds", f"select o_orderkey as s1_id, {BUCKET.format('o_orderkey')} % 100 as bucket, {BUCKET.format(chr(39) + 'half:' + chr(39) + ' || o_orderkey')} % 2 as half, {BUCKET.format('o_orderkey')} % 3 as fold from orders")
+@query("hash_halves_folds", f"select o_orderkey as s1_id, {BUCKET.format('o_orderkey')} % 100 as bucket, {BUCKET.format(chr(39) + 'half:' + chr(39) + ' || o_orderkey')} % 2 as half, {BUCKET.format('o_orderkey')} % 100 % 3 as fold from orders")
 def _(spark, d):
     return E.hash_buckets(read(spark, d, "orders").select(F.col("o_orderkey").alias("s1_id")))
 

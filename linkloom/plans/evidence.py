@@ -11,8 +11,8 @@ from linkloom.operators import decide as D
 from linkloom.operators import evaluate as V
 from linkloom.operators import evidence as W
 from linkloom.operators import profile as R
-from linkloom.operators.pairs import not_same_key, number_pairs, same_key
-from linkloom.plans.records import LISTS, _rescored
+from linkloom.operators.pairs import key_pairs, not_same_key, number_pairs, same_key
+from linkloom.plans.records import CORE_SQL, LISTS, RESCORE, _phon_sql, _rescored
 from linkloom.plans.registry import query
 from linkloom.sources.tables import materialized
 from linkloom.sources.entities import COUNTS_SQL, PAIRS_SQL, RECORDS_SQL, TRUTH_SQL, pairs, read, records, true_counts, truth
@@ -23,16 +23,11 @@ E = f"with {RECORDS_SQL}"
 def _same_address(spark, d):
     """Pairs with an equal address, and their two parsed records."""
     rec = W.parsed(records(spark, d))
-    found = B.exact_pass(rec.filter("source = 1").select("country", F.col("entity_id").alias("id"), F.col("address_key").alias("key")), rec.filter("source > 1").select("country", F.col("entity_id").alias("id"), F.col("address_key").alias("key")), "key", 200)
-    return rec, W.attach(found.drop("country"), rec)
+    return rec, W.attach(key_pairs(rec, F.col("address_key")), rec)
 
 
-PARSED = f"""{E}, b as (select *, case when len(list_filter(nt, lambda t: not list_contains({LISTS(T.CONNECTOR + T.ALIAS)}, t))) > 0 then list_filter(nt, lambda t: not list_contains({LISTS(T.CONNECTOR + T.ALIAS)}, t)) else nt end as body from rec),
-h as (select *, case when len(body) > 1 then coalesce(list_min(list_filter(range(1, len(body)), lambda i: not list_contains({LISTS(T.HONORIFIC)}, body[i]))), len(body)) else 1 end as start from b), g as (select *, body[start:] as rest from h),
-c as (select *, case when len(list_filter(rest, lambda t: not list_contains({LISTS(T.LEGAL)}, t))) > 0 then list_filter(rest, lambda t: not list_contains({LISTS(T.LEGAL)}, t)) else rest end as core,
-list_transform(list_transform(list_filter(ad, lambda t: not list_contains({LISTS(T.ADDRESS_DROP)}, t)), lambda t: case when regexp_full_match(t, '[0-9]+') then regexp_replace(t, '^0+([0-9])', '\\1') else t end), lambda t: coalesce(map_extract(map({LISTS(T.ADDRESS_ABBREVIATIONS)}, {LISTS(T.ADDRESS_ABBREVIATIONS.values())}), t)[1], t)) as addr from g),
-ps as (select *, array_to_string(addr, ' ') as akey, array_to_string(list_sort(list_distinct(core)), ' ') as skey, list_distinct(list_filter(addr, lambda t: regexp_full_match(t, '[0-9]+'))) as nums from c),
-pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.core as an, b.core as bn, a.nums as ax, b.nums as bx, a.skey as ak, b.skey as bk from ps a join ps b on a.country = b.country and a.akey = b.akey join (select country, akey from ps where source > 1 and akey <> '' group by 1, 2 having count(*) <= 200) k on k.country = a.country and k.akey = a.akey where a.source = 1 and b.source > 1)"""
+PARSED = f"""{E}, {CORE_SQL},
+pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.core as an, b.core as bn, a.nums as ax, b.nums as bx, a.skey as ak, b.skey as bk from ps a join ps b on a.country = b.country and a.akey = b.akey where a.akey <> '' and a.source = 1 and b.source > 1)"""
 
 
 @query("represent_core", f"{PARSED} select entity_id, array_to_string(core, ' ') as core, skey as sorted_key, akey as address_key, array_to_string(list_sort(nums), ' ') as nums from ps")
@@ -65,14 +60,6 @@ def _(spark, d):
     return W.with_frequencies(W.siblings(scored), rec)
 
 
-@query("miss_categories")
-def _(spark, d):
-    rec = W.parsed(records(spark, d))
-    missed = truth(spark, d).select("s1_id", F.col("matched_id").alias("cand_id")).join(_rescored(spark, d).select("s1_id", "cand_id", "rank"), ["s1_id", "cand_id"], "left").filter("rank is null or rank >= 5")
-    named = W.signals(W.attach(missed.select("s1_id", "cand_id"), rec)).join(missed, ["s1_id", "cand_id"])
-    return named.groupBy(W.miss_category(F.col("rank").isNotNull(), F.lit(False)).alias("category")).agg(F.count("*").alias("n"))
-
-
 @query("house_number_pairs", "select a.o_orderkey as a, b.o_orderkey as b, cast(a.o_orderkey <> b.o_orderkey and (starts_with(cast(a.o_orderkey as varchar), cast(b.o_orderkey as varchar)) or starts_with(cast(b.o_orderkey as varchar), cast(a.o_orderkey as varchar))) as int) as prefix, cast(length(cast(a.o_orderkey as varchar)) = length(cast(b.o_orderkey as varchar)) and levenshtein(cast(a.o_orderkey as varchar), cast(b.o_orderkey as varchar)) = 1 as int) as one_off from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey < b.o_orderkey")
 def _(spark, d):
     o = read(spark, d, "orders").select("o_custkey", "o_orderkey")
@@ -81,7 +68,13 @@ def _(spark, d):
     return both.select("a", "b", prefix.alias("prefix"), near.alias("one_off"))
 
 
-@query("stage1_features")
+_BITS = ", ".join(f"cast((passes >> {i}) & 1 as bigint) as pass_{n}" for i, n in enumerate(B.PASSES) if n != "expand_prf")
+
+
+@query("stage1_features", f"""{RESCORE}, s as (select *, max(cos_name) over w as bn, max(cos_addr) over w as ba, count(*) over w as n_cands, max(priority) over w as best from k window w as (partition by s1_id)),
+z as (select *, priority / (best + 1e-6) as ratio_ from s)
+select s1_id, cand_id, cast(priority as double) as priority, rank, cos_name, cos_addr, round(bn - cos_name, 6) as cos_name_gap, round(ba - cos_addr, 6) as cos_addr_gap, {_BITS}, n_cands, round(best - priority, 6) as gap_to_best, round(ratio_, 6) as ratio,
+cast(sum(case when ratio_ > 0.8 then 1 else 0 end) over (partition by s1_id) as bigint) as n_strong from z""")
 def _(spark, d):
     c = _rescored(spark, d)
     w = Window.partitionBy("s1_id")
@@ -91,15 +84,21 @@ def _(spark, d):
     return c.select("s1_id", "cand_id", "priority", "rank", "cos_name", "cos_addr", *gaps, *bits).join(context, ["s1_id", "cand_id"])
 
 
-@query("suffix_decisions", f"""{E}, t as (select country, unnest(list_distinct(nt)) as token, 1 as present, 0 as tail from rec union all select country, unnest(list_distinct(nt[-2:])), 0, 1 from rec where len(nt) >= 2), s as (select country, token, sum(present) as present, sum(tail) as tail from t group by 1, 2), n as (select country, count(*) as n from rec group by 1)
-select country, token, round(tail / n, 6) as share from s join n using (country) where list_contains({LISTS(T.LEGAL)}, token) or (regexp_full_match(token, '[a-z]+') and length(token) <= 3 and tail / n >= 0.003 and tail / present >= 0.3)""")
+#: Sound keys of the legal words of four letters or more.
+_HAND = f"hand as (select list(distinct k) as ks from (select {_phon_sql('token')} as k from (select unnest({LISTS([w for w in T.LEGAL if len(w) >= 4])}) as token)) where length(k) >= 2)"
+
+
+@query("suffix_decisions", f"""{E}, {_HAND}, t as (select country, unnest(list_distinct(nt)) as token, 1 as present, 0 as tail from rec union all select country, unnest(list_distinct(nt[-2:])), 0, 1 from rec where len(nt) >= 2),
+s as (select country, token, sum(present) as present, sum(tail) as tail from t group by 1, 2), n as (select country, count(*) as n from rec group by 1)
+select country, token, round(tail / n, 6) as share from s join n using (country), hand where list_contains({LISTS(T.LEGAL)}, token)
+or (regexp_full_match(token, '[a-z]+') and (length(token) <= 3 or list_contains(ks, {_phon_sql("token")})) and tail / n >= 0.001 and tail / present >= 0.3)""")
 def _(spark, d):
     rec = records(spark, d)
     present = rec.select("country", F.explode(F.array_distinct("name_tokens")).alias("token"), F.lit(1).alias("present"), F.lit(0).alias("tail"))
     tail = rec.filter(F.size("name_tokens") >= 2).select("country", F.explode(F.array_distinct(F.slice("name_tokens", -2, 2))).alias("token"), F.lit(0).alias("present"), F.lit(1).alias("tail"))
     stats = present.unionByName(tail).groupBy("country", "token").agg(F.sum("present").alias("present"), F.sum("tail").alias("tail"))
-    found = W.decide_suffixes(stats, rec.groupBy("country").agg(F.count("*").alias("n")), T.LEGAL, 0.003, 0.3)
-    return found.filter("accepted").filter((F.length("token") <= 3) | F.col("token").isin(T.LEGAL)).select("country", "token", "share")
+    found = W.decide_suffixes(stats, rec.groupBy("country").agg(F.count("*").alias("n")), T.LEGAL, 0.001, 0.3)
+    return found.filter("accepted").select("country", "token", "share")
 
 
 @query("exact_sample", "select doc_id from documents order by md5(doc_id || ':7'), doc_id limit 100")
@@ -182,7 +181,7 @@ def _(spark, d):
     return represent(records(spark, d).select("entity_id", T.null_if_empty(T.fold(F.col("name"))).alias("name_fold"), T.null_if_empty(T.fold(F.col("address"))).alias("address_fold")))
 
 
-@query("pair_probes", f"{E}, p as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1 join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name) select s1_id, cand_id, an = bn as name_exact, len(list_intersect(list_distinct(an), bn)) = 0 as name_zero, len(ba) = 0 as m_no_address, len(ba) > 0 and len(list_intersect(list_distinct(aa), ba)) = 0 as addr_zero, len(list_intersect(list_distinct(an), ba)) > 0 or len(list_intersect(list_distinct(aa), bn)) > 0 as cross_field from p")
+@query("pair_probes", f"{E}, p as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1) select s1_id, cand_id, an = bn as name_exact, len(list_intersect(list_distinct(an), bn)) = 0 as name_zero, len(ba) = 0 as m_no_address, len(ba) > 0 and len(list_intersect(list_distinct(aa), ba)) = 0 as addr_zero, len(list_intersect(list_distinct(an), ba)) > 0 or len(list_intersect(list_distinct(aa), bn)) > 0 as cross_field from p")
 def _(spark, d):
     p = same_key(records(spark, d), "name")
     hit = lambda a, b: F.size(F.array_intersect(a, b)) > 0
@@ -190,7 +189,7 @@ def _(spark, d):
     return p.select("s1_id", "cand_id", (F.col(an) == F.col(bn)).alias("name_exact"), (~hit(an, bn)).alias("name_zero"), (F.size(ba) == 0).alias("m_no_address"), ((F.size(ba) > 0) & ~hit(aa, ba)).alias("addr_zero"), (hit(an, ba) | hit(aa, bn)).alias("cross_field"))
 
 
-@query("matches_within_candidates", f"{E}, {TRUTH_SQL} select s1_id, matched_id from truth where (s1_id, matched_id) not in (select a.entity_id, b.entity_id from rec a join rec b on a.country = b.country and a.name = b.name join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name where a.source = 1 and b.source > 1)")
+@query("matches_within_candidates", f"{E}, {TRUTH_SQL} select s1_id, matched_id from truth where (s1_id, matched_id) not in (select a.entity_id, b.entity_id from rec a join rec b on a.country = b.country and a.name = b.name where a.source = 1 and b.source > 1)")
 def _(spark, d):
     found = truth(spark, d).select("s1_id", F.col("matched_id").alias("cand_id"))
     return not_same_key(found, records(spark, d), "name").withColumnRenamed("cand_id", "matched_id")

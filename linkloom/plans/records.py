@@ -13,6 +13,7 @@ from linkloom.operators import profile as R
 from linkloom.plans.registry import query
 from linkloom.sources.entities import RECORDS_SQL, TRUTH_SQL, read, records, truth
 
+LISTS = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
 E = f"with {RECORDS_SQL}"
 ET = f"with {RECORDS_SQL}, {TRUTH_SQL}"
 MISSING = "(x is null or lower(trim(x)) in ('', 'null', 'none', 'nan', 'na', 'n/a', '-', '--', '?'))"
@@ -91,7 +92,7 @@ def _(spark, d):
     return R.coverage(truth(spark, d), rec, R.document_frequency(rec.filter("source > 1"), "name_tokens"), [10, 100, 1000, 10000])
 
 
-SUBS = "subs as (select x, y, count(*) as n from (select list_filter(list_distinct(a.nt), lambda v: not list_contains(b.nt, v)) as l, list_filter(list_distinct(b.nt), lambda v: not list_contains(a.nt, v)) as r from rec a join rec b on a.country = b.country and a.source = 1 and b.source > 1 and a.ad = b.ad and len(a.ad) > 0 join (select country, ad from rec where source > 1 and len(ad) > 0 group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.ad = a.ad), lateral (select l[1] as x, r[1] as y) where len(l) = 1 and len(r) = 1 group by 1, 2)"
+SUBS = "subs as (select x, y, count(*) as n from (select list_filter(list_distinct(a.nt), lambda v: not list_contains(b.nt, v)) as l, list_filter(list_distinct(b.nt), lambda v: not list_contains(a.nt, v)) as r from rec a join rec b on a.country = b.country and a.source = 1 and b.source > 1 and a.ad = b.ad and len(a.ad) > 0), lateral (select l[1] as x, r[1] as y) where len(l) = 1 and len(r) = 1 group by 1, 2)"
 
 
 @query("substitution_counts", f"{E}, {SUBS} select x, y, n from subs")
@@ -174,15 +175,30 @@ def _(spark, d):
     return w.select(T.phonetic_key(F.col("token")).alias("key")).filter("key is not null").distinct().select("key", T.coarse_key(F.col("key")).alias("coarse"))
 
 
-LISTS = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+def _without(tokens: str, words) -> str:
+    return f"list_filter({tokens}, lambda t: not list_contains({LISTS(words)}, t))"
+
+
+#: Records with core words, normalised address, address numbers and keys: connectors go, then honorifics in front, then legal words, as long as something is left.
+CORE_SQL = f"""cb as (select *, case when len({_without("nt", T.CONNECTOR + T.ALIAS)}) > 0 then {_without("nt", T.CONNECTOR + T.ALIAS)} else nt end as body from rec),
+ch as (select *, case when len(body) > 1 then coalesce(list_min(list_filter(range(1, len(body)), lambda i: not list_contains({LISTS(T.HONORIFIC)}, body[i]))), len(body)) else 1 end as start from cb),
+cg as (select *, body[start:] as rest from ch),
+co as (select *, case when len({_without("rest", T.LEGAL)}) > 0 then {_without("rest", T.LEGAL)} else rest end as core,
+list_transform(list_transform({_without("ad", T.ADDRESS_DROP)}, lambda t: case when regexp_full_match(t, '[0-9]+') then regexp_replace(t, '^0+([0-9])', '\\1') else t end), lambda t: coalesce(map_extract(map({LISTS(T.ADDRESS_ABBREVIATIONS)}, {LISTS(T.ADDRESS_ABBREVIATIONS.values())}), t)[1], t)) as addr from cg),
+ps as (select *, array_to_string(addr, ' ') as akey, array_to_string(list_sort(list_distinct(core)), ' ') as skey, list_distinct(list_filter(addr, lambda t: regexp_full_match(t, '[0-9]+'))) as nums from co)"""
 
 
-@query("core_split", f"{E}, b as (select entity_id, nt, case when len(list_filter(nt, lambda t: not list_contains({LISTS(T.CONNECTOR + T.ALIAS)}, t))) > 0 then list_filter(nt, lambda t: not list_contains({LISTS(T.CONNECTOR + T.ALIAS)}, t)) else nt end as body from rec), c as (select entity_id, list_filter(body, lambda t: not list_contains({LISTS(T.LEGAL)}, t)) as core, body from b where len(body) > 0 and not list_contains({LISTS(T.HONORIFIC)}, body[1])) select entity_id, array_to_string(case when len(core) > 0 then core else body end, ' ') as core from c")
+#: Names with a title in front, a legal word at the end or both, so that every step of the split has something to do.
+DRESSED = "select entity_id, country, source, address, text, ad, list_concat(case doc_id % 4 when 1 then ['mr'] when 2 then ['dr', 'shri'] else [] end, nt, case when doc_id % 3 = 0 then ['ltd'] else [] end) as nt from rec"
+
+
+@query("core_split", f"{E}, plain as ({DRESSED}), {CORE_SQL.replace('from rec)', 'from plain)')} select entity_id, array_to_string(core, ' ') as core from ps")
 def _(spark, d):
-    rec = records(spark, d).filter(F.size("name_tokens") > 0)
-    plain = F.filter("name_tokens", lambda t: ~t.isin(T.CONNECTOR + T.ALIAS))
-    first = F.get(F.when(F.size(plain) > 0, plain).otherwise(F.col("name_tokens")), F.lit(0))
-    return rec.filter(~first.isin(T.HONORIFIC)).select("entity_id", F.array_join(T.core_tokens(F.col("name_tokens")), " ").alias("core"))
+    number = F.substring_index("entity_id", "-", -1).cast("long")
+    words = lambda *ws: F.array(*map(F.lit, ws)).cast("array<string>")
+    title = F.when(number % 4 == 1, words("mr")).when(number % 4 == 2, words("dr", "shri")).otherwise(words())
+    dressed = F.concat(title, "name_tokens", F.when(number % 3 == 0, words("ltd")).otherwise(words()))
+    return records(spark, d).select("entity_id", F.array_join(T.core_tokens(dressed), " ").alias("core"))
 
 
 @query("address_normalised", f"{E} select entity_id, array_to_string(list_transform(list_transform(list_filter(ad, lambda t: not list_contains({LISTS(T.ADDRESS_DROP)}, t)), lambda t: case when regexp_full_match(t, '[0-9]+') then regexp_replace(t, '^0+([0-9])', '\\1') else t end), lambda t: coalesce(map_extract(map({LISTS(T.ADDRESS_ABBREVIATIONS)}, {LISTS(T.ADDRESS_ABBREVIATIONS.values())}), t)[1], t)), ' ') as address from rec where address is not null")
@@ -230,34 +246,41 @@ def _(spark, d):
 NORMS = "nm as (select f.country, f.id, round(sqrt(sum(idf * idf)), 9) as a_norm from fe f join i on i.country = f.country and i.grp = f.grp and i.feat = f.feat where f.source = 1 and f.grp = 'name' group by 1, 2), md as (select country, quantile_cont(a_norm, 0.5) as m from nm group by 1)"
 
 
-@query("name_informativeness", f"{E}, {F_SQL}, {NORMS} select nm.id as s1_id, round(greatest(0.3, least(1.0, a_norm / m)), 6) as info from nm join md on md.country = nm.country")
-def _(spark, d):
-    s1, _, table = _features(spark, d)
+def _informative(s1, table):
+    """(s1_id, info): how much the rarity of a name's words says, against the median of its country."""
     norms = s1.filter("grp = 'name'").join(table, ["country", "grp", "feat"]).groupBy("country", "id").agg(F.round(F.sqrt(F.sum(F.col("idf") * F.col("idf"))), 9).alias("a_norm"))
     medians = norms.groupBy("country").agg(F.percentile("a_norm", 0.5).alias("m"))
     return norms.join(medians, "country").select(F.col("id").alias("s1_id"), F.round(B.informativeness(F.col("a_norm"), F.col("m")), 6).alias("info"))
 
 
+@query("name_informativeness", f"{E}, {F_SQL}, {NORMS} select nm.id as s1_id, round(greatest(0.3, least(1.0, a_norm / m)), 6) as info from nm join md on md.country = nm.country")
+def _(spark, d):
+    s1, _, table = _features(spark, d)
+    return _informative(s1, table)
+
+
 KEYED = "ky as (select country, source, entity_id as id, array_to_string(list_sort(list_distinct(nt)), ' ') as sorted_key, array_to_string(nt, '') as concat from rec)"
-EXACT_SQL = lambda k, a="", cap=200: f"select a.country, a.id as s1_id, b.id as cand_id from ky a join ky b on b.country = a.country and b.{k} = a.{k} join (select country, {k} from ky where source > 1 and {k} <> '' group by 1, 2 having count(*) <= {cap}) c on c.country = a.country and c.{k} = a.{k} where a.source = 1 and b.source > 1"
+EXACT_SQL = lambda k, a="", cap=5000: f"select a.country, a.id as s1_id, b.id as cand_id from ky a join ky b on b.country = a.country and b.{k} = a.{k} join (select country, {k} from ky where source > 1 and {k} <> '' group by 1, 2 having count(*) <= {cap}) c on c.country = a.country and c.{k} = a.{k} where a.source = 1 and b.source > 1"
 
 
 def _keyed(spark, d):
-    rec = records(spark, d).select("country", "source", F.col("entity_id").alias("id"), F.array_join(F.array_sort(F.array_distinct("name_tokens")), " ").alias("sorted_key"), F.array_join("name_tokens", "").alias("concat"), F.array_join(F.array_sort(F.array_distinct("address_tokens")), " ").alias("alias"))
+    """Keys of both sides; the second line of a record stands for its other name."""
+    second = T.tokens(T.fold(F.get(F.split("text", "\n"), F.lit(1))))
+    rec = records(spark, d).select("country", "source", F.col("entity_id").alias("id"), F.array_join(F.array_sort(F.array_distinct("name_tokens")), " ").alias("sorted_key"), F.array_join("name_tokens", "").alias("concat"), F.array_join(F.array_sort(F.array_distinct(second)), " ").alias("alias"))
     return rec.filter("source = 1"), rec.filter("source > 1")
 
 
 @query("block_exact_capped", f"{E}, {KEYED} {EXACT_SQL('sorted_key')}")
 def _(spark, d):
-    return B.exact_pass(*_keyed(spark, d), "sorted_key", 200)
+    return B.exact_pass(*_keyed(spark, d), "sorted_key", 5000)
 
 
-@query("block_exact_alias_union", f"""{E}, ky as (select country, source, entity_id as id, array_to_string(list_sort(list_distinct(nt)), ' ') as sorted_key, array_to_string(list_sort(list_distinct(ad)), ' ') as alias from rec),
-u as (select a.country, a.id as s1_id, b.id as cand_id from ky a join ky b on b.country = a.country and b.alias = a.sorted_key join (select country, alias from ky where source > 1 and alias <> '' group by 1, 2 having count(*) <= 200) c on c.country = a.country and c.alias = a.sorted_key where a.source = 1 and b.source > 1
-union select a.country, a.id, b.id from ky a join ky b on b.country = a.country and b.sorted_key = a.alias join (select country, sorted_key from ky where source > 1 and sorted_key <> '' group by 1, 2 having count(*) <= 200) c on c.country = a.country and c.sorted_key = a.alias where a.source = 1 and b.source > 1 and a.alias <> '') select * from u""")
+@query("block_exact_alias_union", f"""{E}, ky as (select country, source, entity_id as id, array_to_string(list_sort(list_distinct(nt)), ' ') as sorted_key, array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(replace(coalesce(string_split(text, chr(10))[2], ''), '&', ' and ')), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> ''))), ' ') as alias from rec),
+u as (select a.country, a.id as s1_id, b.id as cand_id from ky a join ky b on b.country = a.country and b.alias = a.sorted_key join (select country, alias from ky where source > 1 and alias <> '' group by 1, 2 having count(*) <= 5000) c on c.country = a.country and c.alias = a.sorted_key where a.source = 1 and b.source > 1
+union select a.country, a.id, b.id from ky a join ky b on b.country = a.country and b.sorted_key = a.alias join (select country, sorted_key from ky where source > 1 and sorted_key <> '' group by 1, 2 having count(*) <= 5000) c on c.country = a.country and c.sorted_key = a.alias where a.source = 1 and b.source > 1 and a.alias <> '') select * from u""")
 def _(spark, d):
     s1, pool = _keyed(spark, d)
-    return B.exact_pass(s1, pool, "sorted_key", 200, "alias").unionByName(B.exact_pass(s1, pool, "alias", 200, "sorted_key")).distinct()
+    return B.exact_pass(s1, pool, "sorted_key", 5000, "alias").unionByName(B.exact_pass(s1, pool, "alias", 5000, "sorted_key")).distinct()
 
 
 @query("block_size_lookup", f"{E}, {KEYED}, b as (select country, sorted_key, count(*) as n from ky where source > 1 group by 1, 2) select a.country, round(avg(case when b.n is null then 0.0 else 1.0 end), 6) as hit_rate, round(quantile_cont(coalesce(n, 0), 0.99), 6) as p99, max(coalesce(n, 0)) as largest from ky a left join b on b.country = a.country and b.sorted_key = a.sorted_key where a.source = 1 group by 1")
@@ -299,7 +322,7 @@ select *, 1 as b from ({EXACT_SQL('sorted_key')}) union all select *, 2 from ({E
 
 def _union(spark, d):
     s1, pool = _keyed(spark, d)
-    return B.union_passes({"exact_sorted": B.exact_pass(s1, pool, "sorted_key", 200), "exact_concat": B.exact_pass(s1, pool, "concat", 200), "sparse_name": _topk(spark, d, "name"), "sparse_addr": _topk(spark, d, "addr")})
+    return B.union_passes({"exact_sorted": B.exact_pass(s1, pool, "sorted_key", 5000), "exact_concat": B.exact_pass(s1, pool, "concat", 5000), "sparse_name": _topk(spark, d, "name"), "sparse_addr": _topk(spark, d, "addr")})
 
 
 @query("block_union_bitmask", f"{UNION} select s1_id, cand_id, cast(passes as bigint) as passes from u")
@@ -310,7 +333,8 @@ def _(spark, d):
 RESCORE = f"""{UNION}, wf as (select f.country, f.source, f.id, f.grp, f.feat, idf / sqrt(sum(idf * idf) over (partition by f.id, f.grp)) as w from fe f join i on i.country = f.country and i.grp = f.grp and i.feat = f.feat),
 c as (select u.s1_id, u.cand_id, sum(case when a.grp = 'name' then a.w * b.w else 0 end) as cn, sum(case when a.grp = 'addr' then a.w * b.w else 0 end) as ca from u join wf a on a.id = u.s1_id join wf b on b.id = u.cand_id and b.grp = a.grp and b.feat = a.feat group by 1, 2),
 r as (select u.*, round(coalesce(cn, 0), 6) as cos_name, round(coalesce(ca, 0), 6) as cos_addr from u left join c on c.s1_id = u.s1_id and c.cand_id = u.cand_id),
-p as (select r.*, round(cos_name + case when e.address is null then 0.7 * cos_name else cos_addr end + case when passes & 3 > 0 then 0.25 else 0 end, 6) as priority from r join ent e on e.entity_id = r.cand_id),
+{NORMS}, nf as (select nm.id, round(greatest(0.3, least(1.0, a_norm / m)), 6) as info from nm join md on md.country = nm.country), ri as (select r.*, coalesce(nf.info, 1.0) as info from r left join nf on nf.id = r.s1_id),
+p as (select ri.*, round(info * cos_name + case when e.address is null then 0.7 * info * cos_name else cos_addr end + case when passes & 3 > 0 then 0.25 * info else 0 end, 6) as priority from ri join ent e on e.entity_id = ri.cand_id),
 k as (select *, row_number() over (partition by s1_id order by priority desc, cand_id) - 1 as rank from p)"""
 
 
@@ -320,7 +344,8 @@ def _rescored(spark, d):
     both = both.withColumn("cos_name", F.round("cos_name", 6)).withColumn("cos_addr", F.round("cos_addr", 6)).withColumns({c: F.lit(0.0) for c in ("cos_phon", "cos_cphon", "cos_cross", "cos_caddr", "cos_cname")})
     missing = records(spark, d).select(F.col("entity_id").alias("cand_id"), F.col("address").isNull().alias("missing"))
     weights = {**B.WEIGHTS, "cross": 0.0, "caddr": 0.0}
-    scored = both.join(missing, "cand_id").withColumn("priority", F.round(B.priority(F.col("missing"), F.lit(1.0), weights), 6))
+    scored = both.join(missing, "cand_id").join(_informative(s1, table), "s1_id", "left").withColumn("info", F.coalesce("info", F.lit(1.0)))
+    scored = scored.withColumn("priority", F.round(B.priority(F.col("missing"), F.col("info"), weights), 6))
     return B.ranked(scored, "priority")
 
 
@@ -368,7 +393,7 @@ def _(spark, d):
     return B.expand(a, seeds, b).select("id", "feat", F.round("w", 6).alias("w"))
 
 
-PAIR = f"{E}, pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba, a.name as a_name, b.name as b_name from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1 join (select country, name from rec where source > 1 and text <> '' group by 1, 2 having count(*) <= 200) kc on kc.country = a.country and kc.name = a.name)"
+PAIR = f"{E}, pr as (select a.entity_id as s1_id, b.entity_id as cand_id, a.nt as an, b.nt as bn, a.ad as aa, b.ad as ba, a.name as a_name, b.name as b_name from rec a join rec b on a.country = b.country and a.text <> '' and a.name = b.name and a.source = 1 and b.source > 1)"
 
 
 def _same_name(spark, d):
