@@ -247,7 +247,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Expected words of the texts in a block of a bucket: two blocks meet in one task, which holds the shingles of one.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 50_000
 
 
 def classes(docs: DataFrame) -> DataFrame:
