@@ -179,16 +179,16 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def share(spark: SparkSession, model):
-    """Broadcast a model with its classes by value, so that workers need nothing of this package; `opened` reads it there."""
+    """Broadcast a model with its classes by value, so that workers need nothing of this package; `opened` reads it there. Arrays travel, and lie on disk, compressed."""
     buffers: list = []
     head = cloudpickle.dumps(model, protocol=5, buffer_callback=buffers.append)
-    return spark.sparkContext.broadcast((head, [b.raw().tobytes() for b in buffers]))
+    return spark.sparkContext.broadcast((head, [(b.raw().nbytes, pa.compress(b.raw(), codec="zstd", asbytes=True)) for b in buffers]))
 
 
 def opened(shared):
-    """The model of `share`; its arrays are read-only and lie in the broadcast's own memory."""
+    """The model of `share`; its arrays are read-only."""
     head, buffers = shared.value
-    return pickle.loads(head, buffers=buffers)
+    return pickle.loads(head, buffers=[pa.decompress(b, decompressed_size=size, codec="zstd") if size else b"" for size, b in buffers])
 
 
 def free_names(columns: list[str], *wanted: str) -> list[str]:
