@@ -47,8 +47,9 @@ LONG_WORDS = 32
 TARGET_RECALL = 0.99
 #: Longer items are looked for by their pieces.
 PIECE_WORDS = 100
-#: Most words of the items of one block.
-BLOCK_WORDS = 2_000_000
+#: Most bytes of one block of items: every piece has REPETITIONS keys and places, every word a hash and a triple.
+BLOCK_BYTES = 64_000_000
+PIECE_BYTES, WORD_BYTES = 16 * REPETITIONS, 32
 
 _BYTE = np.zeros(256, dtype=bool)
 _BYTE[48:58] = _BYTE[65:91] = _BYTE[97:123] = _BYTE[128:] = True
@@ -236,17 +237,20 @@ def _known(items: Items) -> np.ndarray:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """Blocks of items with at most BLOCK_WORDS words (or one item); a null text is no item."""
+    """Blocks of items with at most BLOCK_BYTES (or one item); a text without words is no item."""
     ids, words, size = [], [], 0
     for row in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull()).toLocalIterator():
         raw = np.frombuffer(row["text"].encode(), dtype=np.uint8)
         own, _ = tokens(raw, np.array([0, len(raw)]))
-        if ids and size + len(own) > BLOCK_WORDS:
+        if not len(own):
+            continue
+        cost = PIECE_BYTES * len(pieces(len(own))) + WORD_BYTES * len(own)
+        if ids and size + cost > BLOCK_BYTES:
             yield Items.build(ids, words)
             ids, words, size = [], [], 0
         ids.append(row["item_id"])
         words.append(own)
-        size += len(own)
+        size += cost
     if ids:
         yield Items.build(ids, words)
 
@@ -264,7 +268,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     plain = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"))
     found = None
     for block in item_blocks(benchmark):
-        shared = share(spark, block)  # at most BLOCK_WORDS words
+        shared = share(spark, block)  # at most BLOCK_BYTES
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = opened(shared)

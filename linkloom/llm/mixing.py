@@ -6,10 +6,9 @@ entropy to "every document once".  The convex dual has one multiplier per group,
 
     D(lambda) = sum_d size(d) * exp(lambda[g(d)]) - lambda . target,
 
-and r(d) = exp(lambda[g(d)]) at its minimum.  Groups do not overlap, so the Hessian
-is diagonal and its entries depend on the documents only through each group's
-words: one distributed aggregation reads the documents, and every group then takes
-its Newton steps where its row lies.
+and r(d) = exp(lambda[g(d)]) at its minimum.  Groups may overlap (`balance`): the exponent is then the sum over a
+document's groups.  One distributed aggregation reads the documents; gradient and Hessian are sums over the distinct
+sets of groups, made anew for each damped Newton step.  The sources of `mix` are the simplest case, with a diagonal Hessian.
 
 Rates become whole copies by error diffusion: a document gets floor(r) or
 ceil(r) copies, whichever keeps the running word count of its block nearest to
@@ -59,15 +58,60 @@ def capped_targets(groups: DataFrame, key: str, weight: str, size: str, max_rate
     return g.withColumn("target", F.when(F.col("full_"), F.col("cap_")).otherwise(F.col("open_share_") * F.col(weight))).drop("cap_", "level_", "rest_", "share_", "full_", "open_share_")
 
 
-def newton_rates(groups: DataFrame, steps: int = 40) -> DataFrame:
-    """One dimension: the Hessian is diagonal, so every group takes its own Newton steps, as one distributed expression.
+def balance(patterns: DataFrame, targets: dict[int, float], tolerance: float = 1e-9, steps: int = 60) -> dict[int, float]:
+    """Multipliers of the dual for patterns(groups array<int>, size): groups may overlap.
 
-    D(l) = size * exp(l) - l * target; the step is (target - size e^l) / (size e^l), held to 1 in size.  A target of
-    0 gives the rate 0 (its multiplier has no finite minimum).
+    The rate of a document in the groups S is exp(sum of lambda[g], g in S).  Documents enter through the size of each distinct set of
+    groups only.  Every step sums the gradient and the Hessian's entries over the patterns where they lie, and solves for the
+    few multipliers on the driver; a step is held to 1 in size and halved as long as the dual does not fall.
+    A target of 0 has no finite multiplier: it is left out, and its documents get the rate 0.
     """
-    step = lambda l, _: l + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("target") / (F.col("source_size") * F.exp(l)) - 1))  # noqa: E731, E741
-    lam = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step)
-    return groups.withColumn("rate", F.when((F.col("target") > 0) & (F.col("source_size") > 0), F.least(F.exp(lam), F.lit(MAX_RATE))).otherwise(0.0))
+    dead = sorted(g for g, t in targets.items() if t <= 0)
+    live = sorted(g for g, t in targets.items() if t > 0)
+    known = patterns.filter((F.col("size") > 0) & ~F.arrays_overlap("groups", F.array(*map(F.lit, dead)).cast("array<int>"))) if dead else patterns.filter("size > 0")
+    lam = dict.fromkeys(live, 0.0)
+
+    def weighed(at: dict[int, float]) -> DataFrame:
+        table = F.create_map(*[F.lit(x) for g, v in at.items() for x in (g, v)]) if at else F.create_map()
+        total = F.aggregate("groups", F.lit(0.0), lambda s, g: s + F.coalesce(table[g], F.lit(0.0)))
+        return known.select("groups", (F.col("size") * F.exp(total)).alias("mass"))
+
+    def dual(at: dict[int, float]) -> float:
+        return float(weighed(at).agg(F.sum("mass").alias("m")).first()["m"] or 0.0) - sum(v * targets[g] for g, v in at.items())
+
+    value = dual(lam) if live else 0.0
+    for _ in range(steps if live else 0):
+        each = weighed(lam).select("mass", "groups", F.explode("groups").alias("i")).select("mass", "i", F.explode("groups").alias("j"))
+        hessian = {(r["i"], r["j"]): r["h"] for r in each.groupBy("i", "j").agg(F.sum("mass").alias("h")).collect()}  # pairs of groups that share a document
+        reached = [g for g in live if hessian.get((g, g), 0) > 0]
+        gradient = np.array([hessian[g, g] - targets[g] for g in reached])
+        if not reached or np.all(np.abs(gradient) <= tolerance * np.array([targets[g] for g in reached])):
+            break
+        if all(i == j for i, j in hessian):
+            step = -gradient / np.array([hessian[g, g] for g in reached])
+        else:
+            full = np.array([[hessian.get((a, b), 0.0) for b in reached] for a in reached])
+            step = -np.linalg.lstsq(full + 1e-12 * np.trace(full) * np.eye(len(full)), gradient, rcond=None)[0]
+        step /= max(1.0, float(np.abs(step).max()))
+        scale = 1.0
+        while True:
+            tried = lam | {g: lam[g] + scale * float(x) for g, x in zip(reached, step, strict=True)}
+            now = dual(tried)
+            if now <= value + 1e-12 * abs(value) or scale < 1e-6:
+                break
+            scale /= 2
+        lam, value = tried, now
+    return lam | dict.fromkeys(dead, -math.inf)
+
+
+def newton_rates(groups: DataFrame) -> DataFrame:
+    """groups(source_size, target, ...), one row for each group and none overlapping, with `rate`: the solved balance, at most MAX_RATE."""
+    numbered = groups.withColumn("group_", F.row_number().over(Window.orderBy("source_size", "target")))
+    rows = numbered.select("group_", "target").collect()  # a few rows per source
+    lam = balance(numbered.select(F.array("group_").alias("groups"), F.col("source_size").cast("double").alias("size")), {r["group_"]: float(r["target"] or 0) for r in rows})
+    table = F.create_map(*[F.lit(x) for g, v in lam.items() for x in (g, math.exp(v))]) if lam else F.create_map().cast("map<int,double>")
+    rate = F.when(F.col("source_size") > 0, F.least(table[F.col("group_")], F.lit(MAX_RATE)))
+    return numbered.withColumn("rate", F.coalesce(rate, F.lit(0.0))).drop("group_")
 
 
 def _round_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

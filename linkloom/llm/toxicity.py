@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, lean, opened, share, table
+from .common import SpanHash, U64, Words, byte_values, chunks, crc_mod, cut, lean, opened, share, table
 
 #: Labelled rows of each class that the machine is fitted on, at most.
 SAMPLE_PER_CLASS = 1500
@@ -37,8 +37,11 @@ PREFIX_BYTES = (4, 5, 6, 7)
 #: A term must occur in so many of the fitted texts.
 LEAST_TEXTS = 5
 L2, RATE, FACTOR_RATE = 0.1, 0.3, 0.03
-#: Least and most L1, and its growth by fitted text of the rarer class.
-L1 = (12.0, 40.0, 0.15)
+#: Strengths of L1 that are tried, the folds of the fitted rows they are tried on, and the epochs of a trial.
+L1 = (3.0, 6.0, 12.0, 24.0, 40.0)
+FOLDS, TRIAL_EPOCHS = 3, 5
+#: Terms that are known, at most: those in most of the fitted texts.
+MOST_TERMS = 1 << 18
 FILTER_BITS = 22
 
 _TERM_BYTE = np.zeros(256, dtype=bool)
@@ -107,7 +110,33 @@ class FactorizationMachine:
 
 
 def fit(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, prior: float, seed: int = 7) -> FactorizationMachine:
-    """texts, values: the distinct term hashes of each text and their values.  prior: share of label 1 among all labelled rows."""
+    """texts, values: the distinct term hashes of each text and their values.  prior: share of label 1 among all labelled rows.
+
+    The strength of L1 is the one with the least logistic loss on folds of these rows (both classes weigh alike); the strongest of equals.
+    """
+    fold = np.random.default_rng(seed).permutation(len(texts)) % FOLDS
+    loss = dict.fromkeys(L1, 0.0)
+    for k in range(FOLDS):
+        inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if len(set(label[inside])) < 2 or len(set(label[outside])) < 2:
+            continue
+        weight = 0.5 / np.where(label[outside] == 1, label[outside].sum(), (1 - label[outside]).sum())
+        sizes = [len(texts[i]) for i in outside]
+        doc, term, value = np.repeat(np.arange(len(outside)), sizes), np.concatenate([texts[i] for i in outside]), np.concatenate([values[i] for i in outside])
+        for l1 in L1:
+            m = _fitted([texts[i] for i in inside], [values[i] for i in inside], label[inside], float(label[inside].mean()), l1, TRIAL_EPOCHS, seed)
+            if len(m.hashes):
+                at = np.minimum(np.searchsorted(m.hashes, term), len(m.hashes) - 1)
+                same = m.hashes[at] == term
+                z = m.logits(len(outside), doc[same], at[same], value[same])
+            else:
+                z = np.full(len(outside), m.bias)
+            loss[l1] += float((weight * np.logaddexp(0, np.where(label[outside] == 1, -z, z))).sum())
+    best = min(L1, key=lambda x: (round(loss[x], 9), -x))
+    return _fitted(texts, values, label, prior, best, EPOCHS, seed)
+
+
+def _fitted(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, prior: float, l1: float, epochs: int, seed: int) -> FactorizationMachine:
     if not label.any() or label.all():
         return FactorizationMachine(bias=10.0 if len(label) and label.all() else -10.0)
     every, count = np.unique(np.concatenate(texts), return_counts=True)
@@ -122,11 +151,10 @@ def fit(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, pr
         weights.append(x[known])
     rng = np.random.default_rng(seed)
     n_terms = len(vocabulary)
-    l1 = float(np.clip(L1[2] * min(label.sum(), len(label) - label.sum()), L1[0], L1[1]))
     z, n, w = np.zeros(n_terms), np.zeros(n_terms), np.zeros(n_terms)
     v = rng.normal(0, 0.01, (n_terms, FACTORS))
     g2, bias, bias_n = np.full((n_terms, FACTORS), 1e-4), 0.0, 1.0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(rows))
         for begin in range(0, len(order), BATCH):
             part = order[begin : begin + BATCH]
@@ -168,21 +196,42 @@ def fit(texts: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, pr
     return FactorizationMachine(vocabulary[keep], w[keep], v[keep], float(bias + shift))
 
 
-def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _term_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each text."""
     for batch in batches:
-        sets: list[bytes] = []
-        values: list[bytes] = []
         for row, stop, data, offsets in chunks(batch):
-            doc, term, value = weighted(*terms(data, offsets))
-            cut = np.searchsorted(doc, np.arange(stop - row + 1))
-            sets += [term[cut[i] : cut[i + 1]].tobytes() for i in range(stop - row)]
-            values += [value[cut[i] : cut[i + 1]].tobytes() for i in range(stop - row)]
-        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(sets, type=pa.binary()), pa.array(values, type=pa.binary())], ["doc_id", "label", "terms", "value"])
+            doc, term, _ = weighted(*terms(data, offsets))
+            ends = np.searchsorted(doc, np.arange(stop - row + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(term.view(np.int64)))], ["terms"])
+
+
+def _known_terms(shared):
+    """Of each text its terms in the vocabulary, and their values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = opened(shared)
+        for batch in batches:
+            for row, stop, data, offsets in chunks(batch):
+                doc, term, value = weighted(*terms(data, offsets))
+                if len(vocabulary):
+                    known = vocabulary[np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)] == term
+                    doc, term, value = doc[known], term[known], value[known]
+                else:
+                    doc, term, value = doc[:0], term[:0], value[:0]
+                ends = np.searchsorted(doc, np.arange(stop - row + 1))
+                part = lambda x, ends=ends: pa.array([x[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(row, stop - row) for c in (1, 2)], part(term), part(value)], ["doc_id", "label", "terms", "value"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> FactorizationMachine:
     """docs(doc_id, text), labels(doc_id, label): rows without an id or a label teach nothing; an id with
-    several labels counts once, as 1 if any of them is."""
+    several labels counts once, as 1 if any of them is; of the texts of a repeated id the one with the least hash teaches.
+
+    What reaches the driver is bounded: at most 2 * per_class rows, of each its terms among MOST_TERMS.
+    """
+    spark = docs.sparkSession
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     facts = known.agg(F.avg("label").alias("p"), F.count("*").alias("n")).first()
     if not facts["n"]:
@@ -190,12 +239,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     # the least hashes of each class: every task sends its own least ones only
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = known.filter("label = 1").orderBy(*order).limit(per_class).unionByName(known.filter("label <> 1").orderBy(*order).limit(per_class))
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most 2 * per_class rows
-    rows = chosen.select("text", "doc_id", "label").mapInArrow(lean(_term_sets), "doc_id long, label int, terms binary, value binary").toArrow()
-    # one text an id, in order of ids, read in place from the buffers
-    _, first = np.unique(rows["doc_id"].to_numpy(), return_index=True)
-    texts, values = [np.frombuffer(rows["terms"][i].as_buffer(), dtype=np.uint64) for i in first], [np.frombuffer(rows["value"][i].as_buffer(), dtype=np.float32) for i in first]
-    return fit(texts, values, rows["label"].to_numpy()[first].astype(np.float64), min(max(float(facts["p"]), 1e-4), 1 - 1e-4)) if texts else FactorizationMachine()
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")  # at most 2 * per_class rows are sent
+    chosen = cut(found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+    counts = chosen.select("text").mapInArrow(lean(_term_lists), "terms array<long>").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TEXTS)
+    vocabulary = np.sort(counts.orderBy(F.desc("n"), "term").limit(MOST_TERMS).select("term").toArrow()["term"].to_numpy().view(np.uint64))
+    rows = chosen.select("text", "doc_id", "label").mapInArrow(lean(_known_terms(share(spark, vocabulary))), "doc_id long, label int, terms binary, value binary").toArrow()
+    if not rows.num_rows:
+        return FactorizationMachine()
+    ids = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+    texts, values = [np.frombuffer(rows["terms"][i].as_buffer(), dtype=np.uint64) for i in ids], [np.frombuffer(rows["value"][i].as_buffer(), dtype=np.float32) for i in ids]
+    return fit(texts, values, rows["label"].to_numpy()[ids].astype(np.float64), min(max(float(facts["p"]), 1e-4), 1 - 1e-4))
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,7 +42,18 @@ def test_caps(spark):
 
 def test_newton_solves_the_dual(spark):
     g = spark.createDataFrame([(10.0, 25.0), (10.0, 1e-3), (10.0, 0.0), (0.0, 0.0)], "source_size double, target double")
-    assert [r.rate for r in M.newton_rates(g).collect()] == pytest.approx([2.5, 1e-4, 0.0, 0.0])
+    assert {(r.source_size, r.target): r.rate for r in M.newton_rates(g).collect()} == pytest.approx({(10.0, 25.0): 2.5, (10.0, 1e-3): 1e-4, (10.0, 0.0): 0.0, (0.0, 0.0): 0.0})
+
+
+def test_overlapping_groups(spark):
+    """Two languages across two sources: all four sums are met, and the rates are products of multipliers (the least entropy)."""
+    sizes = {(0, 10): 40.0, (0, 11): 60.0, (1, 10): 80.0, (1, 11): 20.0}
+    targets = {0: 150.0, 1: 50.0, 10: 90.0, 11: 110.0}
+    lam = M.balance(spark.createDataFrame([(list(k), v) for k, v in sizes.items()], "groups array<int>, size double"), targets)
+    rate = {k: math.exp(sum(lam[g] for g in k)) for k in sizes}
+    for g, want in targets.items():
+        assert sum(v * rate[k] for k, v in sizes.items() if g in k) == pytest.approx(want, rel=1e-6)
+    assert rate[0, 10] * rate[1, 11] == pytest.approx(rate[0, 11] * rate[1, 10])
 
 
 def test_awkward(spark, awkward, empty):

@@ -46,3 +46,26 @@ def test_stage(spark, docs, data):
     assert out.columns == docs.columns
     assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()} - flagged
     assert T.stage_toxicity(spark, docs.withColumn("score", F.lit(1)).limit(0), data).count() == 0
+
+
+def test_score_against_a_sum_over_pairs():
+    """The machine's logit by its definition: bias, terms, and every pair of terms once."""
+    rng = np.random.default_rng(4)
+    text = "You bad people, bad bad idea; good-bye everyone"
+    data = np.frombuffer(text.encode(), dtype=np.uint8)
+    _, term, value = T.weighted(*T.terms(data, np.array([0, len(data)])))
+    known = np.sort(rng.choice(term, len(term) - 3, replace=False))
+    m = T.FactorizationMachine(known, rng.normal(size=len(known)), rng.normal(size=(len(known), 3)), -0.4)
+    x = {int(t): float(v) for t, v in zip(term, value, strict=True)}
+    want = m.bias + sum(m.w[i] * x[int(t)] for i, t in enumerate(known))
+    want += sum(float(m.v[i] @ m.v[j]) * x[int(known[i])] * x[int(known[j])] for i in range(len(known)) for j in range(i))
+    got = m.score(data, np.array([0, len(data)]), m.prepared()[1])[0]
+    assert abs(got - 1 / (1 + np.exp(-want))) < 1e-5
+
+
+def test_repeated_ids_teach_once(spark):
+    rows = [(i % 40, f"word{i % 40} bad thing" if i % 2 else f"word{i % 40} nice thing") for i in range(4000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int")
+    a = T.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    b = T.train(spark.createDataFrame(rows[:40], "doc_id long, text string"), labels)
+    assert (a.hashes == b.hashes).all() and np.allclose(a.w, b.w) and a.bias == b.bias
