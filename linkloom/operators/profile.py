@@ -150,10 +150,19 @@ def segment_coverage(truth: DataFrame, rec: DataFrame) -> DataFrame:
     return m.groupingSets([[], ["country"], ["country", "source"]], "country", "source").agg(F.count("*").alias("n"), F.round(F.avg("hit"), 6).alias("covered"))
 
 
+def numbered(df: DataFrame, by: str, digest: Column) -> DataFrame:
+    """Add i, from 0, in the order of a hex digest within each `by`; rows are numbered in slices of the digest's first two digits, to which the slices before are added."""
+    sliced = df.withColumn("digest_", digest).withColumn("slice_", F.substring("digest_", 1, 2))
+    sizes = sliced.groupBy(by, "slice_").agg(F.count("*").alias("n_"))
+    before = Window.partitionBy(by).orderBy("slice_").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(by, "slice_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("offset_"))  # at most 256 rows for each `by`
+    own = F.row_number().over(Window.partitionBy(by, "slice_").orderBy("digest_")) - 1
+    return sliced.withColumn("own_", own).join(offsets, [by, "slice_"]).withColumn("i", (F.col("own_") + F.col("offset_")).cast("long")).drop("digest_", "slice_", "own_", "offset_")
+
+
 def random_negatives(rec: DataFrame, truth: DataFrame) -> DataFrame:
     """For each S1 one pool record of its country, picked by hash from a numbered pool; true pairs are left out."""
-    order = Window.partitionBy("country").orderBy(F.md5(F.col("entity_id").cast("binary")))
-    pool = rec.filter("source > 1").select("country", F.col("entity_id").alias("cand_id"), (F.row_number().over(order) - 1).cast("long").alias("i"))
+    pool = numbered(rec.filter("source > 1").select("country", F.col("entity_id").alias("cand_id")), "country", F.md5(F.col("cand_id").cast("binary")))
     sizes = pool.groupBy("country").agg(F.count("*").alias("n"))
     number = F.conv(F.substring(F.md5(F.concat("entity_id", F.lit(":neg")).cast("binary")), 1, 8), 16, 10).cast("long")
     s1 = rec.filter("source = 1").join(sizes, "country").select("country", F.col("entity_id").alias("s1_id"), (number % F.col("n")).alias("i"))

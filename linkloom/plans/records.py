@@ -410,8 +410,9 @@ def _(spark, d):
 select s1_id, cand_id, round(sum(case when shared then v else 0 end) / sum(v), 6) as idf_overlap from y group by 1, 2""")
 def _(spark, d):
     _, _, table = _features(spark, d)
-    pool = records(spark, d).filter("source > 1").count()
-    total = table.filter("grp = 'addr'").groupBy("feat").agg((F.log((pool + 1) / (F.sum("df") + 1)) + 1).alias("idf"))
+    pool = records(spark, d).filter("source > 1").agg(F.count("*").alias("n"))
+    total = table.filter("grp = 'addr'").groupBy("feat").agg(F.sum("df").alias("df")).crossJoin(F.broadcast(pool))  # one row
+    total = total.select("feat", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     return Q.idf_overlap(_same_name(spark, d), "address_tokens", total)
 
 

@@ -1,5 +1,6 @@
 """Decision layer: brute force, invariants, hand-made cases."""
 
+import hashlib
 from itertools import product
 
 import numpy as np
@@ -129,3 +130,24 @@ def test_link_covers_every_s1(spark, data):
     got = link(rec, truth(spark, data), Settings(max_df=30, k_comb=8, k=4, max_block=100, budget=8, keep=4, folds=2)).collect()
     assert sorted(r.s1_id for r in got) == sorted(r.entity_id for r in rec.filter("source = 1").collect())
     assert all(m.startswith(("S2-", "S3-")) for r in got for m in r.matches.split(",") if m)
+
+
+def test_gamma_by_one_histogram(spark):
+    """The exponent found is where a count of rows crosses the target."""
+    rows = [(i % 10, i, (i + 1) / 41) for i in range(40)] + [(1, 100, 0.0), (2, 101, 1.0)]
+    df = spark.createDataFrame(rows, "s1_id long, cand_id long, p double")
+    for target in (0.95, 1.5, 2.5):
+        g = D.gamma_for_target(df, target, 0.5)
+        rate = lambda x: sum(p**x >= 0.5 for _, _, p in rows) / 10
+        assert rate(g - 0.001) >= target >= rate(g + 0.001)
+
+
+def test_numbered_in_order(spark):
+    from linkloom.operators.profile import numbered
+
+    ids = spark.range(500).selectExpr("id % 3 as c", "cast(id as string) as x")
+    got = numbered(ids, "c", F.md5(F.col("x").cast("binary"))).collect()
+    for c in range(3):
+        want = sorted((hashlib.md5(r.x.encode()).hexdigest(), r.x) for r in got if r.c == c)
+        assert [x for _, x in want] == [r.x for r in sorted((r for r in got if r.c == c), key=lambda r: r.i)]
+        assert sorted(r.i for r in got if r.c == c) == list(range(len(want)))

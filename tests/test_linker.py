@@ -3,7 +3,7 @@
 from linkloom.functions.text import fold, tokens
 from linkloom.operators import blocking as B
 from linkloom.operators import evidence as W
-from linkloom.operators.linker import Settings, candidates
+from linkloom.operators.linker import Settings, candidates, represented
 
 
 def test_other_scripts_are_not_crowded_out(spark):
@@ -21,3 +21,21 @@ def test_registered_at_full_size(spark, data):
 
     got = entry.queries()["candidates_full"](spark, data).groupBy("s1_id").count().agg({"count": "max"}).first()[0]
     assert got > 20
+
+
+def test_links_are_found(spark, data):
+    """From records to lists: nearly all true pairs, and hardly any others."""
+    import __spark_entry__ as entry
+    from linkloom.sources.entities import truth
+
+    found = {(r.s1_id, c) for r in entry.queries()["link_records"](spark, data).collect() if r.matches for c in r.matches.split(",")}
+    want = {(r.s1_id, r.matched_id) for r in truth(spark, data).collect()}
+    assert len(found & want) >= 0.8 * len(want) and len(found - want) <= 0.2 * len(found)
+
+
+def test_accents_and_scripts_meet(spark):
+    rows = [("a", 1, "x", "Café Zürich", "5 Rue Été", "t"), ("b", 2, "x", "cafe zurich", "5 rue ete", "t"), ("c", 2, "x", "नगर", None, "t")]
+    df = spark.createDataFrame(rows, "entity_id string, source long, country string, name string, address string, text string")
+    rec = df.withColumn("name_tokens", tokens(fold(df.name))).withColumn("address_tokens", tokens(fold(df.address)))
+    got = {r.entity_id: (r.name_tokens, r.address_tokens) for r in represented(rec).collect()}
+    assert got["a"] == got["b"] == (["cafe", "zurich"], ["5", "rue", "ete"]) and got["c"] == (["nagar"], [])
