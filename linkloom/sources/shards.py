@@ -62,6 +62,14 @@ def run_shards(spark: SparkSession, root: str, names: list[object], make: Callab
     return made
 
 
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], rows: int) -> DataFrame:
+    """The table at path if it is whole and has so many rows, else what `make` gives, written there: features, document frequencies, IDF."""
+    if not shard_done(spark, path) or spark.read.parquet(path).count() != rows:
+        with timed(f"cache {path}"):
+            make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def reset_from(spark: SparkSession, root: str, stages: list[str], first: str) -> None:
     """Forget what stages from `first` on have written."""
     for stage in stages[stages.index(first) :]:

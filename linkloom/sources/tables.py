@@ -96,9 +96,9 @@ def block_inputs(represented: DataFrame, splits: DataFrame, columns: list[str])
     return joined.withColumn("split", F.coalesce("split", F.raise_error(F.concat(F.lit("no split for "), F.col("entity_id"))).cast("string")))
 
 
-def write_lists(df: DataFrame, path: str) -> None:
-    """(s1_id, matches) as TSV without quoting."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+def write_lists(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Rows (such as s1_id, matches) as TSV without quoting; with compression 'gzip' as .gz files."""
+    df.write.mode("overwrite").option("compression", compression).option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
 
 
 def keyed(df: DataFrame, key: str) -> DataFrame:

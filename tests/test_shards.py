@@ -1,13 +1,16 @@
 """Shards, reports, side tables and the command line."""
 
+import gzip
 import json
 
 import pytest
 
 from linkloom import __main__ as cli
 from linkloom.operators import audit as A
+from linkloom.operators import ranker as K
 from linkloom.operators import rules as U
 from linkloom.sources import shards as H
+from linkloom.sources import tables as S
 
 
 def test_shards_resume(spark, tmp_path):
@@ -79,3 +82,32 @@ def test_gates(spark):
     assert {r.gate: (r.violations, r.level) for r in bad.collect()} == {"unreachable_words": (1, "FAIL"), "repeated_words": (1, "FAIL"), "chained_entries": (2, "WARN"), "entries_to_themselves": (1, "FAIL")}
     assert A.gate_verdict(bad).first().verdict == "NOT READY"
     assert A.gate_verdict(bad.filter("level = 'WARN'")).first().verdict == "READY"
+
+
+def test_cache_is_made_anew_if_rows_differ(spark, tmp_path):
+    path, made = str(tmp_path / "c"), []
+
+    def make(n):
+        made.append(n)
+        return spark.range(n)
+
+    assert H.cached(spark, path, lambda: make(5), 5).count() == H.cached(spark, path, lambda: make(5), 5).count() == 5 and made == [5]
+    assert H.cached(spark, path, lambda: make(7), 7).count() == 7 and made == [5, 7]
+
+
+def test_gzip_lists(spark, tmp_path):
+    S.write_lists(spark.createDataFrame([("a", "x,y"), ("b", "")], "s1_id string, matches string").coalesce(1), str(tmp_path / "l"), "gzip")
+    (part,) = (tmp_path / "l").glob("*.gz")
+    assert gzip.decompress(part.read_bytes()).decode().splitlines() == ["s1_id\tmatches", "a\tx,y", "b\t"]
+
+
+def test_early_stopping_and_missing_features(spark, tmp_path):
+    rows = [(i, float(i % 7), float((i * 37) % 11), int((i % 7 > 3) != ((i * 7919) % 10 < 3))) for i in range(400)]  # noise: more rounds gain nothing
+    df = spark.createDataFrame(rows, "s1_id long, a double, b double, label int")
+    short = K.fit(df, ["a", "b"], rounds=20, holdout=20)
+    assert short.stages[-1].getNumTrees < 20
+    K.save(short, str(tmp_path / "m"))
+    again = K.load(str(tmp_path / "m"))
+    assert K.score(again, df).filter("score between 0 and 1").count() == 400
+    with pytest.raises(ValueError, match="'b'"):
+        K.score(again, df.drop("b"))
