@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import WORD_RE, lean, table
+from .common import WORD_RE, cut, lean, table
 
 #: Expected documents in a rounding block.
 BLOCK_ROWS = 1_000
@@ -69,6 +69,8 @@ def balance(patterns: DataFrame, targets: dict[int, float], tolerance: float = 1
     dead = sorted(g for g, t in targets.items() if t <= 0)
     live = sorted(g for g, t in targets.items() if t > 0)
     known = patterns.filter((F.col("size") > 0) & ~F.arrays_overlap("groups", F.array(*map(F.lit, dead)).cast("array<int>"))) if dead else patterns.filter("size > 0")
+    # the documents are read once: every step starts from the stored sums
+    known = cut(known.groupBy("groups").agg(F.sum("size").alias("size")))
     lam = dict.fromkeys(live, 0.0)
 
     def weighed(at: dict[int, float]) -> DataFrame:
@@ -147,7 +149,7 @@ def mix(docs: DataFrame, with_text: bool = False) -> DataFrame:
     groups = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows_"))
     # a few rows per source: ordering them is a small job
     groups = groups.withColumn("weight", ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1).cast("double"))
-    groups = newton_rates(capped_targets(groups, "source", "weight", "source_size"))
+    groups = newton_rates(cut(capped_targets(groups, "source", "weight", "source_size")))
     groups = groups.withColumn("blocks_", F.ceil(F.col("rows_") / F.lit(BLOCK_ROWS)))
     joined = sized.join(groups.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_")), "left")
     block = F.xxhash64(F.coalesce(F.col("source"), F.lit("\u0000null")), F.pmod(F.xxhash64("doc_id", "size"), F.col("blocks_")))
