@@ -199,11 +199,32 @@ def _similar(a: tuple[np.ndarray, np.ndarray, int], b: tuple[np.ndarray, np.ndar
     return shared >= SIMILARITY * (a[2] + b[2] - shared) - 1e-9
 
 
+class _Heads:
+    """The texts of a block so far, in arrays that grow by doubling."""
+
+    def __init__(self):
+        self.n, self.own = 0, []
+        self.ids, self.labels = np.zeros(64, dtype=np.int64), np.zeros(64, dtype=np.int64)
+        self.sketches, self.keys = np.zeros((64, COORDINATES), dtype=np.uint16), np.zeros((64, BANDS), dtype=np.int64)
+
+    def add(self, doc: int, label: int, sketch: np.ndarray, keys: np.ndarray, own: tuple[np.ndarray, np.ndarray, int]) -> None:
+        if self.n == len(self.ids):
+            self.ids, self.labels, self.sketches, self.keys = (np.concatenate((x, np.zeros_like(x))) for x in (self.ids, self.labels, self.sketches, self.keys))
+        self.ids[self.n], self.labels[self.n], self.sketches[self.n], self.keys[self.n] = doc, label, sketch, keys
+        self.own.append(own)
+        self.n += 1
+
+    def alike(self, label: int, sketch: np.ndarray, keys: np.ndarray, band: int) -> np.ndarray:
+        """Places of texts of other classes that may be similar and share no band before this one."""
+        other = np.flatnonzero(self.labels[: self.n] != label)
+        other = other[(self.sketches[other] == sketch).sum(axis=1) >= SKETCH_LEAST * COORDINATES]
+        return other[~(self.keys[other, :band] == keys[:band]).any(axis=1)] if band else other
+
+
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between classes of a bucket. Rows come by (key, block, slice): the texts of the block (kind 0), then those of the slice."""
+    """Links between classes of a bucket. Rows come by (key, block, slice, kind) as `meetings` deals them."""
     block: tuple | None = None
-    heads: list = []
-    stacked = None
+    heads = _Heads()
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -222,32 +243,38 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(d, np.arange(stop - row + 1))
             for i in range(row, stop):
                 if block != (key[i], part[i], piece[i]):
-                    block, heads, stacked = (key[i], part[i], piece[i]), [], None
+                    block, heads = (key[i], part[i], piece[i]), _Heads()
                 x = slice(at[i - row], at[i - row + 1])
                 own = (s[x], c[x], int(c[x].sum()))
                 sketch = np.frombuffer(brief[i].as_buffer(), dtype=np.uint16)
-                if kind[i] == 0:
-                    heads.append((doc[i], label[i], sketch, bands[i], own))
-                    stacked = None
-                elif heads:
-                    if stacked is None:
-                        stacked = tuple(np.stack([h[j] for h in heads]) for j in range(4))
-                    ids, labels, sketches, keys = stacked
-                    # a block and another slice meet once; within a block a pair is looked at from its later text
-                    other = np.flatnonzero((labels != label[i]) & ((ids < doc[i]) | (part[i] != piece[i])))
-                    other = other[(sketches[other] == sketch).sum(axis=1) >= SKETCH_LEAST * COORDINATES]
-                    if band[i]:
-                        other = other[~(keys[other, : band[i]] == bands[i, : band[i]]).any(axis=1)]
-                    for h in other:
-                        u, v = root(int(labels[h])), root(int(label[i]))
-                        if u != v and _similar(heads[h][4], own):
+                if kind[i] == 1 or part[i] == piece[i]:
+                    for h in heads.alike(label[i], sketch, bands[i], band[i]):
+                        u, v = root(int(heads.labels[h])), root(int(label[i]))
+                        if u != v and _similar(heads.own[h], own):
                             parent[max(u, v)] = min(u, v)
-                            out.append((min(int(ids[h]), int(doc[i])), max(int(ids[h]), int(doc[i]))))
+                            out.append((min(int(heads.ids[h]), int(doc[i])), max(int(heads.ids[h]), int(doc[i]))))
+                if kind[i] == 0:
+                    heads.add(doc[i], label[i], sketch, bands[i], own)
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([x[1] for x in out], type=pa.int64())], ["a", "b"])
 
 
-#: Expected words of the texts in a block of a bucket: two blocks meet in one task, which holds the shingles of one.
-BLOCK_WORDS = 50_000
+#: Expected words, and texts, in a block of a bucket: a task holds the shingles and signatures of one block.
+BLOCK_WORDS = 1_000_000
+BLOCK_TEXTS = 8192
+
+
+def meetings(left: DataFrame) -> DataFrame:
+    """(key, band, block, slice, kind, rep): where the texts of left(key, band, rep, n, words_) are held against each other.
+
+    The texts of a block meet among themselves, one row each (slice = block, kind 0); blocks of a bucket that has several
+    meet in pairs, the texts of the one (kind 0) before those of the other (kind 1). A text has as many rows as its bucket has blocks.
+    """
+    blocks = F.ceil(F.greatest(F.col("words_") / F.lit(BLOCK_WORDS), F.col("n") / F.lit(BLOCK_TEXTS))).cast("long")
+    zero = F.lit(0).cast("long")
+    split = left.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("last", blocks - 1)
+    heads = split.select("key", "band", F.col("own").alias("block"), F.explode(F.sequence("own", "last")).alias("slice"), F.lit(0).alias("kind"), "rep")
+    passers = split.filter("own > 0").select("key", "band", F.explode(F.sequence(zero, F.col("own") - 1)).alias("block"), F.col("own").alias("slice"), F.lit(1).alias("kind"), "rep")
+    return heads.unionByName(passers)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -273,18 +300,13 @@ def classes(docs: DataFrame) -> DataFrame:
     of = labels.withColumnRenamed("id", "rep")
     placed = crowded.join(of, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter(F.col("low") < F.col("high")).select("key")
-    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).select("key", "band", "rep", "label", "words_"))
+    left = cut(placed.join(open_keys, "key").filter(F.col("n") > 2).select("key", "band", "rep", "label", "n", "words_"))
     if left.limit(1).count():
         wanted = left.select("rep", "label").distinct().join(texts.select("rep", "bands", "brief"), "rep")
         if left.count() <= BROADCAST_SIGNATURES:
             wanted = F.broadcast(wanted)  # rows of half a kilobyte
         held = source.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "label", "bands", "brief", "text")
-        blocks = F.ceil(F.col("words_") / F.lit(BLOCK_WORDS)).cast("long")
-        zero = F.lit(0).cast("long")
-        split = left.withColumn("own", F.pmod(F.xxhash64("rep"), blocks)).withColumn("last", blocks - 1)
-        heads = split.select("key", "band", F.col("own").alias("block"), F.explode(F.sequence("own", "last")).alias("slice"), F.lit(0).alias("kind"), "rep")
-        passers = split.select("key", "band", F.explode(F.sequence(zero, F.col("own"))).alias("block"), F.col("own").alias("slice"), F.lit(1).alias("kind"), "rep")
-        dealt = heads.unionByName(passers).join(held, "rep").repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice", "kind")
+        dealt = meetings(left).join(held, "rep").repartition("key", "block", "slice").sortWithinPartitions("key", "block", "slice", "kind")
         links = cut(dealt.select("text", "key", "block", "slice", "kind", "band", "rep", "label", "bands", "brief").mapInArrow(lean(_cross), "a long, b long"))
         if links.limit(1).count():
             labels = components(edges.unionByName(links))

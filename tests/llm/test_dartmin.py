@@ -70,6 +70,24 @@ def test_families_around_the_limit(spark, monkeypatch, block):
     assert got == want
 
 
+def test_a_crowded_bucket_costs_a_row_a_text(spark):
+    """2,000 texts of 150 words in one bucket: a row each; in small blocks, every two texts still meet once."""
+    left = spark.range(2000).selectExpr("7L as key", "0 as band", "id as rep", "2000L as n", "300000L as words_")
+    assert M.meetings(left).count() == 2000
+
+
+def test_blocks_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_TEXTS", 9)
+    cells = {}
+    for r in M.meetings(spark.range(40).selectExpr("7L as key", "0 as band", "id as rep", "40L as n", "400L as words_")).collect():
+        cells.setdefault((r.block, r.slice), []).append((r.kind, r.rep))
+    met = Counter()
+    for (block, piece), rows in cells.items():
+        for i, (kind, a) in enumerate(rows):
+            met.update(frozenset((a, b)) for other, b in (rows[:i] if block == piece else rows) if block == piece or (kind, other) == (0, 1))
+    assert len(met) == 40 * 39 // 2 and set(met.values()) == {1}
+
+
 def test_agreement_is_weighted_jaccard():
     rng = np.random.default_rng(3)
     a = rng.integers(1, 2**60, 200).astype(np.uint64)
