@@ -31,6 +31,8 @@ SWITCH_PENALTY = 8.0
 #: A script belongs to a language if at least this share of the language's words is in it.
 SCRIPT_SHARE = 0.01
 SCRIPTS = 12
+#: Bytes of text that are labelled at once: texts advance together, so more of them share a step.
+LABELLED = 1 << 20
 
 
 #: (first code point, last, script): ranges of the Unicode code charts; 0 is Latin and anything common, higher ones win in a word.
@@ -92,12 +94,39 @@ class LanguageModel:
         return s
 
 
+def constant(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
+    """The label of each text whose best path is known to keep one label, else -1; no text is empty.
+
+    Against the label with the largest sum, every stretch of another label must gain less than the penalty, and a beginning and an end
+    together as well: then each stretch of a path that leaves the label costs more than it gains, also where a path never takes it.
+    """
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = first[:-1]
+    label = np.add.reduceat(scores, at, axis=0, dtype=np.float64).argmax(axis=1)
+    gain = np.zeros((len(scores) + 1, scores.shape[1]))
+    np.cumsum(scores - scores[np.arange(len(scores)), label[doc]][:, None], axis=0, dtype=np.float64, out=gain[1:])
+    before, after = gain[:-1], gain[1:]
+    # every text lies below all earlier ones, so the least value so far is its own
+    shift = (doc * (gain.max() - gain.min() + 1))[:, None]
+    stretch = np.maximum.reduceat((after - (np.minimum.accumulate(before - shift, axis=0) + shift)).max(axis=1), at)
+    begin = np.maximum.reduceat((after - before[at][doc]).max(axis=1), at)
+    end = np.maximum.reduceat((gain[first[1:]][doc] - before).max(axis=1), at)
+    sure = (stretch < penalty - 1e-3) & (np.maximum(begin, 0) + np.maximum(end, 0) < penalty - 1e-3)
+    return np.where(sure, label, -1)
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
-    """Best label of each word; texts are scores[first[i]:first[i+1]]."""
+    """Best label of each word; texts are scores[first[i]:first[i+1]]. Only texts that may switch are walked word by word."""
     labels = np.zeros(len(scores), dtype=np.int16)
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     order = order[length[order] > 0]
+    if len(order):
+        full = np.flatnonzero(length > 0)
+        one = np.full(len(length), -1)
+        one[full] = constant(scores, np.append(first[:-1][full], len(scores)), penalty)
+        labels[:] = np.repeat(one, length)
+        order = order[one[order] < 0]
     if not len(order):
         return labels
     at, n = first[:-1][order], length[order]
@@ -177,7 +206,7 @@ def _identify(shared):
         model: LanguageModel = opened(shared)
         for batch in batches:
             pred, score, spans = [], [], []
-            for row, stop, data, offsets in chunks(batch):
+            for row, stop, data, offsets in chunks(batch, size=LABELLED):
                 n = stop - row
                 if not model.languages:
                     pred, score, spans = pred + ["und"] * n, score + [0.0] * n, spans + [""] * n

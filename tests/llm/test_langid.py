@@ -33,6 +33,24 @@ def test_viterbi():
             assert got[first[i] : first[i + 1]].tolist() == brute(scores[first[i] : first[i + 1]], 4.0)
 
 
+def test_constant_paths():
+    """Texts that are settled without a walk have that path, ties and texts that never take the likeliest label included; plain ones are settled."""
+    rng = np.random.default_rng(5)
+    settled = 0
+    for trial in range(300):
+        sizes = rng.integers(1, 12, 6)
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        scores = np.round(rng.normal(0, 1.5, (first[-1], 3)) + rng.normal(0, 1, 3)).astype(np.float32)
+        one = L.constant(scores, first, 4.0)
+        for i, n in enumerate(sizes):
+            if one[i] >= 0:
+                settled += 1
+                assert brute(scores[first[i] : first[i + 1]], 4.0) == [one[i]] * n
+    assert 300 < settled < 1800
+    plain = np.tile(np.array([[0.0, -1.0]], dtype=np.float32), (50, 1))
+    assert L.constant(plain, np.array([0, 20, 50]), 8.0).tolist() == [0, 0]
+
+
 def test_spans_and_scripts(spark):
     en, ru, de = "the cat sat on the mat and the dog ran", "кот сидел на полу и смотрел в окно", "der hund lief schnell durch den grossen wald"
     df = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate([(en, "en"), (ru, "ru"), (de, "de")] * 20)], "doc_id long, text string, lang string")
