@@ -11,7 +11,7 @@ A text is the sequence of its words, A-Z lower-cased, and one end.  It is coded
    word that followed when these two (or this one) last stood in this text.
 3. Mixing.  The predictors' logits are added up with weights that a gate chooses: how well the
    last repeats were kept, the longest context with evidence, and whether the class is clear.  Weights are learned
-   online, by gradient steps on the coding cost: the gates' on START_DOCS training texts (from counts that leave the coded bit
+   online, by gradient steps on the coding cost: the gates' on all training texts (from counts that leave the coded bit
    itself out); every text then adds weights of its own, which it adapts as it is read.
 4. Refinement.  A second adaptive stage holds the mixed probability against the rate of ones
    that was seen at (gate, quantised probability).
@@ -61,10 +61,8 @@ BUCKETS = 33
 #: Bits of a text that are coded with the same weights, at first and at most; the rates of learning in a text and before.
 STEP, LONG_STEP = 256, 4096
 RATE, START_RATE = 0.0015, 0.02
-#: Training texts that the first weights are learned from, in expectation and at most about.
-START_DOCS = 2048
 #: Bytes of text handled at once.
-CHUNK = 1 << 17
+CHUNK = 1 << 16
 PIECES = 64
 #: Class evidence is added up in units of 1 / SCALE, as whole numbers: sums depend on no order.
 SCALE = 1024
@@ -499,9 +497,8 @@ def train(texts: DataFrame, book_, n_texts: int) -> tuple[Mixer, Broadcast]:
     if rows:
         mixer.counts = np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int32) for r in rows]).reshape(2, SLOTS, 2)
     counts_ = share(spark, mixer.counts)
-    chosen = texts.filter(F.pmod("key", F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, START_DOCS / n_texts)))
     # every task learns online from its own texts; the states are averaged by the texts they saw
-    mean = chosen.select("text").mapInArrow(lean(_start(book_, counts_)), "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    mean = texts.select("text").mapInArrow(lean(_start(book_, counts_)), "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
     if mean.num_rows:
         state = np.zeros(mean.num_rows)
         state[mean["i"].to_numpy()] = mean["x"].to_numpy()
@@ -691,7 +688,7 @@ def score(docs: DataFrame, held_out: Column, class_column: str | None = None) ->
     book = Codebook.build(top["word"].to_pylist(), top["c"].to_numpy(), np.stack([top[x].to_numpy() for x in own]), np.array([float(facts[x] or 0) for x in own]), n_types)
     # absolute discounting: the share of a count that the words seen once and twice say is luck
     totals = Totals(int(facts["rare_tokens"] or 0), int(facts["rare_types"] or 0), min(0.95, max(0.05, (facts["once"] or 0) / max(1, (facts["once"] or 0) + 2 * (facts["twice"] or 0)))))
-    speller = share(spark, (train_speller(counted.filter((F.col("c") > 0) & (F.col("word") != b"")).select("word"), n_types).ready(), totals))
+    speller = share(spark, (train_speller(counted.filter((F.col("c") > 0) & (F.col("word") != b"")).select("word")).ready(), totals))
     spelled = counted.filter(rare).select("word", "c").mapInArrow(lean(_spell(speller)), "word binary, c long, lp double")
     numbered = plain.withColumn("row_a", F.xxhash64("doc_id", "text")).withColumn("row_b", F.xxhash64(F.lit("b"), "text", "doc_id"))
     book_ = share(spark, book)

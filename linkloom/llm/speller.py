@@ -8,8 +8,8 @@ by gradient steps on the coding cost, from counts that leave the coded word itse
 refined by a second adaptive stage: a table of (gate, quantised probability) that learns the actual
 rate of ones.
 
-Bit counts are taken over all distinct words.  The weights and the refinement, a few hundred numbers, are learned
-from at most LEARNED_WORDS of them, chosen by a hash.
+Bit counts are taken over all distinct words, and the weights and the refinement, a few hundred numbers, are learned
+from all of them.
 """
 
 from __future__ import annotations
@@ -41,8 +41,6 @@ GATHERED = 1 << 20
 PIECES = 64
 #: Longer words are spelled in pieces of this many bytes; contexts start anew with each.
 PIECE = 64
-#: Words that the mixing weights are learned from, in expectation and at most about.
-LEARNED_WORDS = 1 << 16
 
 
 def _symbols(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,8 +212,8 @@ def _sum_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], type=pa.int32()), pa.array([zlib.compress(np.minimum(t, 2**31 - 1).astype(np.int32), 1) for _, t in out], type=pa.binary())], ["piece", "counts"])
 
 
-def train(seen: DataFrame, n_words: int) -> Mixer:
-    """Speller from the n_words distinct words of seen(word)."""
+def train(seen: DataFrame) -> Mixer:
+    """Speller from the distinct words of seen(word)."""
     mixer = fresh()
     summed = seen.mapInArrow(lean(_bit_counts), "piece int, counts binary").repartition("piece").sortWithinPartitions("piece").mapInArrow(_sum_pieces, "piece int, counts binary")
     rows = summed.collect()  # the tables, whose size is fixed
@@ -236,8 +234,7 @@ def train(seen: DataFrame, n_words: int) -> Mixer:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(state) + 1)), pa.array(np.append(state, mass))], ["i", "x"])
 
     # every task learns online from its own words; the states are averaged by the words they saw
-    chosen = seen.filter(F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, LEARNED_WORDS / max(1, n_words))))
-    mean = chosen.mapInArrow(lean(online), "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    mean = seen.mapInArrow(lean(online), "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
     shared.destroy()
     if not mean.num_rows:
         return mixer

@@ -194,3 +194,14 @@ def test_awkward(awkward, empty):
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
     assert M.score(empty, F.lit(False)).count() == 0
     assert M.score(awkward, F.lit(True)).count() == awkward.count()  # nothing to learn from
+
+
+def test_first_weights_come_from_every_training_text(spark):
+    """However many texts there are: a few of a billion would have been left out of a sample of 2,048."""
+    from linkloom.llm.common import share
+
+    words, count = [b"a", b"b", b"c"], np.array([400, 300, 200])
+    book = M.Codebook.build(words, count, count[None, :].astype(float), np.array([1000.0]), 4)
+    texts = spark.createDataFrame([("a b a c b a " * 5, (i + 1) * 1000) for i in range(40)], "text string, key long")
+    mixer, _ = M.train(texts, share(spark, book), 10**9)
+    assert not np.array_equal(mixer.weights, M.fresh().weights)
