@@ -49,3 +49,31 @@ def test_same_texts_are_compared_once(spark):
 
     got = W.compared(pairs, rec, f).collect()
     assert seen == [1] and len(got) == 9 and all(r.sorted_key_eq and r.same_address and r.tag == r.s1_id + r.cand_id for r in got)
+
+
+def test_two_addresses_are_compared_once(spark, monkeypatch):
+    """Three S1s and four candidates of one name: two pairs of addresses, twelve of records; long lists are cut."""
+    from linkloom.operators import pairs as Q
+
+    rows = [(f"S1-{i}", 1, ["x"]) for i in range(3)] + [(f"S2-{i}", 2, ["x"] if i else ["y"]) for i in range(4)] + [("S2-9", 2, ["x"])]
+    rec = spark.createDataFrame([(i, s, None if i == "S2-9" else "c", "n", "t", ["n"], a) for i, s, a in rows], "entity_id string, source long, country string, name string, text string, name_tokens array<string>, address_tokens array<string>")
+    got = Q.same_key_alike(rec, "name", "address_tokens").collect()
+    assert {(r.a, r.b, len(r.s1_ids), len(r.cand_ids)) for r in got} == {("x", "x", 3, 3), ("x", "y", 3, 1)}
+    monkeypatch.setattr(Q, "SLICE", 2)
+    got = Q.same_key_alike(rec, "name", "address_tokens").collect()
+    pairs = [(s, c) for r in got for s in r.s1_ids for c in r.cand_ids]
+    assert max(len(x) for r in got for x in (r.s1_ids, r.cand_ids)) == 2 and len(pairs) == len(set(pairs)) == 12
+
+
+def test_best_window_is_that_of_all_windows():
+    """A few steps for long strings, and the same result as trying every window."""
+    import random
+
+    from linkloom.functions import similarity as S
+
+    rng = random.Random(5)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abc ") for _ in range(rng.randint(1, 14))) for _ in range(2))
+        x, y = sorted((a, b), key=len)
+        assert S.best_window(a, b) == max(S.indel(x, y[max(0, i) : i + len(x)]) for i in range(1 - len(x), len(y)) if i + len(x) > 0)
+    assert S.best_window("ab" * 50000, "ab" * 50000 + "c") == 1.0
