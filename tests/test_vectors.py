@@ -32,4 +32,4 @@ def test_vectors_find_what_joins_find(spark):
 def test_ranked_candidates_read_stored_vectors(spark):
     """Words are counted and coded once; what joins and moves with pairs is codes, not words."""
     plan = entry.queries()["block_rescore_priority"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
-    assert "feat#" not in plan and plan.count("Generate explode") == 4
+    assert "feat#" not in plan and "Generate explode" not in plan
