@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,8 @@ RATE = 0.02
 BATCH = 8192
 #: Bytes of words that a pass over the vocabulary takes at once.
 GATHERED = 1 << 20
+#: Words that are counted at once.
+COUNTED = 8192
 #: Each order's table travels in so many pieces.
 PIECES = 64
 #: Longer words are spelled in pieces of this many bytes; contexts start anew with each.
@@ -58,6 +60,12 @@ def _symbols(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def bit_slots(data: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     """For each of the eight bits of every byte: the bit, and its slot in the table of each order."""
+    for bit, slots_of in slots_by_part(data, place):
+        yield bit, slots_of(slice(None))
+
+
+def slots_by_part(data: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray, Callable[[slice], list[np.ndarray]]]]:
+    """The same with the slots of a part of the bytes on demand: those of all take 48 bytes for each byte."""
     value = data.astype(np.uint64) + U64(1)
     keys = []
     with np.errstate(over="ignore"):
@@ -69,12 +77,20 @@ def bit_slots(data: np.ndarray, place: np.ndarray) -> Iterator[tuple[np.ndarray,
                 before[place % PIECE < order] = 0
                 key = mix64(key * U64(0x100000001B3) + before + U64(order))
             keys.append(key)
+        del value, key
+        if ORDERS > 1:
+            del before
         node = np.ones(len(data), dtype=np.uint64)
         for b in range(7, -1, -1):
             bit = (data >> b) & 1
-            own = node * U64(0x9E3779B97F4A7C15)
-            # the keys are mixed already: one multiplication spreads the place in the byte over them
-            yield bit, [(((k ^ own) * U64(0xD6E8FEB86659FD93 + 2 * i)) >> U64(64 - BITS)).astype(np.int64) for i, k in enumerate(keys)]
+
+            def slots_of(part: slice, node=node) -> list[np.ndarray]:
+                with np.errstate(over="ignore"):
+                    own = node[part] * U64(0x9E3779B97F4A7C15)
+                    # the keys are mixed already: one multiplication spreads the place in the byte over them
+                    return [(((k[part] ^ own) * U64(0xD6E8FEB86659FD93 + 2 * i)) >> U64(64 - BITS)).astype(np.int64) for i, k in enumerate(keys)]
+
+            yield bit, slots_of
             node = node * U64(2) + bit.astype(np.uint64)
 
 
@@ -140,12 +156,12 @@ class Mixer:
 
 def learn(mixer: Mixer, words: np.ndarray, offsets: np.ndarray) -> None:
     """One online pass over a part of the vocabulary; every word is coded as if it were new."""
-    data, place, _ = _symbols(words, offsets)
-    for bit, slots in bit_slots(data, place):
+    data, place = _symbols(words, offsets)[:2]
+    for bit, slots_of in slots_by_part(data, place):
         for begin in range(0, len(data), BATCH):
             part = slice(begin, begin + BATCH)
             b = bit[part].astype(np.float64)
-            x, gate = mixer.inputs([s[part] for s in slots], bit[part])
+            x, gate = mixer.inputs(slots_of(part), bit[part])
             p, bucket, _ = mixer.stages(x, gate)
             error = b - p
             for g in range(GATES):
@@ -187,10 +203,13 @@ def _bit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = False
     for data, at in _gathered(batches):
         seen = True
-        symbols, place, _ = _symbols(data, at)
-        for bit, slots in bit_slots(symbols, place):
-            for i, s in enumerate(slots):
-                np.add.at(total[i], s * 2 + bit, np.int32(1))
+        # counts need no order: a few words at once, whose keys and slots take little room
+        for begin in range(0, len(at) - 1, COUNTED):
+            some = at[begin : begin + COUNTED + 1]
+            symbols, place = _symbols(data[some[0] : some[-1]], some - some[0])[:2]
+            for bit, slots in bit_slots(symbols, place):
+                for i, s in enumerate(slots):
+                    np.add.at(total[i], s * 2 + bit, np.int32(1))
     if seen:
         pieces = total.reshape(ORDERS * PIECES, -1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pieces), dtype=np.int32)), pa.array([zlib.compress(x, 1) for x in pieces], type=pa.binary())], ["piece", "counts"])
