@@ -33,3 +33,20 @@ def test_ranked_candidates_read_stored_vectors(spark):
     """Words are counted and coded once; what joins and moves with pairs is codes, not words."""
     plan = entry.queries()["block_rescore_priority"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "feat#" not in plan and "Generate explode" not in plan
+
+
+def test_alike_records_are_counted_and_coded_once(spark):
+    """Codes hold the counts of all records that the firsts stand for, S1s count for none, and words move twice: by bucket and by record."""
+    rows = [("x", 3, -2, "a b z"), ("x", 4, 3, "a b"), ("x", 7, 1, "b c"), ("y", 10, 1, "a")]
+    feats = spark.createDataFrame([(c, i, m, "name", f) for c, i, m, t in rows for f in t.split()], "country string, id long, m long, grp string, feat string")
+    sizes = spark.createDataFrame([("x", 4), ("y", 1)], "country string, n long")
+    got = B.counted_vectors(feats, sizes, ["name"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" not in plan
+    assert {(r.country, r.id, r.m, r.n, tuple(c >> 32 for c in r["name"])) for r in got.collect()} == {("x", 3, 2, 4, (3, 4)), ("x", 4, 3, 4, (3, 4)), ("x", 7, 1, 4, (1, 4)), ("y", 10, 1, 1, (1,))}
+
+
+def test_crowded_keys_count_alike_records(spark):
+    a = spark.createDataFrame([("x", 3, "k"), ("x", 6, "l"), ("y", 9, "k")], "country string, s1_key long, same string")
+    b = spark.createDataFrame([("x", 4, "k", 2), ("x", 7, "k", 1), ("x", 10, "l", 4)], "country string, key long, same string, m long")
+    assert {tuple(r) for r in B.same_key_firsts(a, b, 3).collect()} == {(3, 4), (3, 7)}
