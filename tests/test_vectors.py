@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from linkloom.operators import blocking as B
+from linkloom.plans import records
 
 
 def test_vectors_find_what_joins_find(spark):
@@ -50,3 +51,15 @@ def test_crowded_keys_count_alike_records(spark):
     a = spark.createDataFrame([("x", 3, "k"), ("x", 6, "l"), ("y", 9, "k")], "country string, s1_key long, same string")
     b = spark.createDataFrame([("x", 4, "k", 2), ("x", 7, "k", 1), ("x", 10, "l", 4)], "country string, key long, same string, m long")
     assert {tuple(r) for r in B.same_key_firsts(a, b, 3).collect()} == {(3, 4), (3, 7)}
+
+
+def test_feedback_by_codes_is_that_by_words(spark, data):
+    """Seeds' words come from stored vectors, the documents are not read anew, and the rows are those of the join by words."""
+    got = entry.queries()["expand_feedback"](spark, data)
+    assert "parquet" not in got._jdf.queryExecution().optimizedPlan().toString()
+    s1, pool, table = records._features(spark, data)
+    a, b = (B.weighted(x.filter("grp = 'name'"), table, "id", "grp") for x in (s1, pool))
+    seeds = records._rescored(spark, data, "rank < 3 and priority >= 1.5").select("country", "s1_id", "cand_id")
+    want = {(r.id, r.feat): r.w for r in B.expand(a, seeds, b).collect()}
+    rows = got.collect()
+    assert len(rows) == len(want) > 0 and all(abs(r.w - want[r.id, r.feat]) < 1e-6 for r in rows)
