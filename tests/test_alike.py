@@ -77,3 +77,12 @@ def test_best_window_is_that_of_all_windows():
         x, y = sorted((a, b), key=len)
         assert S.best_window(a, b) == max(S.indel(x, y[max(0, i) : i + len(x)]) for i in range(1 - len(x), len(y)) if i + len(x) > 0)
     assert S.best_window("ab" * 50000, "ab" * 50000 + "c") == 1.0
+
+
+def test_errors_parse_their_own_records(spark, data, monkeypatch):
+    from linkloom.plans import audits, registry
+
+    seen, parsed = [], audits.W.parsed
+    monkeypatch.setattr(audits.W, "parsed", lambda rec: (seen.append(rec.count()), parsed(rec))[1])
+    n = sum(r.n for r in registry.QUERIES["error_categories"](spark, data).collect())
+    assert len(seen) == 1 and 0 < seen[0] <= 2 * n and seen[0] < spark.read.parquet(f"{data}/documents.parquet").count()
